@@ -19,7 +19,7 @@ NAME_PIECE = r"(\([^)]+\)|[^(]+|\()"
 def line_entries(name: Column) -> Column:
     """Every line letter in the name, in order, repeats kept."""
     groups = F.regexp_extract_all(name, F.lit(LINE_GROUP), F.lit(1))
-    return F.flatten(F.transform(groups, lambda g: F.transform(F.split(g, ","), F.trim)))
+    return F.flatten(F.transform(groups, lambda g: F.transform(F.split(g, ","), lambda letter: F.trim(letter))))
 
 
 def num_lines(name: Column) -> Column:
@@ -46,7 +46,7 @@ def sort_line_letters(name: Column) -> Column:
 
     def tidy(piece: Column) -> Column:
         inner = F.substring(piece, F.lit(2), F.length(piece) - 2)
-        letters = F.array_sort(F.transform(F.split(inner, ","), F.trim))
+        letters = F.array_sort(F.transform(F.split(inner, ","), lambda letter: F.trim(letter)))
         bracket = F.concat(F.lit("("), F.array_join(letters, ","), F.lit(")"))
         return F.when(F.startswith(piece, F.lit("(")) & (F.length(piece) > 1), bracket).otherwise(piece)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stationflow.functions.timeparts import dow_sunday0
 from stationflow.operators.rollups import hourly_ridership
@@ -43,20 +43,25 @@ def profile_maps(lookup: DataFrame) -> DataFrame:
     return cells.join(days, STATION)
 
 
+def nested(df: DataFrame, by: list[str], key: str, value: Column, name: str) -> DataFrame:
+    """Collect (key, value) pairs per group into a map with text keys, in key
+    order; for groups whose size has a fixed bound."""
+    pairs = F.array_sort(
+        F.collect_list(F.struct(F.col(key).alias("k"), value.alias("v"))),
+        lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0),
+    )
+    entries = F.transform(pairs, lambda p: F.struct(p["k"].cast("string"), p["v"]))
+    return df.groupBy(*by).agg(F.map_from_entries(entries).alias(name))
+
+
 def nest_lookup(lookup: DataFrame, digits: int = 2) -> DataFrame:
     """Export form: one row per station with {weekday: {hour: mean}}."""
-    hours = lookup.groupBy(STATION, "dow").agg(
-        F.map_from_entries(
-            F.sort_array(F.collect_list(F.struct(F.col("hour"), F.bround("avg_ridership", digits))))
-        ).alias("hours")
-    )
-    return hours.groupBy(STATION).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("dow", F.to_json("hours"))))).alias("dows")
-    )
+    hours = nested(lookup, [STATION, "dow"], "hour", F.bround("avg_ridership", digits), "hours")
+    return nested(hours, [STATION], "dow", F.col("hours"), "dows")
 
 
-def unnest_lookup(nested: DataFrame) -> DataFrame:
+def unnest_lookup(exported: DataFrame) -> DataFrame:
     """Back from the export form to one row per cell."""
-    days = nested.select(STATION, F.explode("dows").alias("dow", "_hours"))
-    cells = days.select(STATION, "dow", F.explode(F.from_json("_hours", "map<int,double>")).alias("hour", "avg_ridership"))
-    return cells
+    days = exported.select(STATION, F.explode("dows").alias("dow", "_hours"))
+    cells = days.select(STATION, "dow", F.explode("_hours").alias("hour", "avg_ridership"))
+    return cells.withColumns({"dow": F.col("dow").cast("int"), "hour": F.col("hour").cast("int")})

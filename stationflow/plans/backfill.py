@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stationflow.functions.timeparts import iso_text
 from stationflow.schema import PARTITION_COLS, TS
 from stationflow.sources.facts import partition_keys
 from stationflow.sources.landed import newer_than
-from stationflow.sources.sinks import append_months, get_watermark, replace_months, set_watermark
+from stationflow.sources.sinks import append_months, get_watermark, newest_in_batch, replace_months, set_watermark
 
 # --- Fixed value: a month with fewer rows is taken for incomplete ------------------
 COMPLETE_MONTH_ROWS = 500_000
@@ -58,7 +57,7 @@ def replace_month(cleaned: DataFrame, root: str, year: int, month: int) -> None:
 
 
 def ingest_increment(cleaned: DataFrame, root: str, control: str, start: str = "2025-01-01") -> str | None:
-    """Add the rows after the high-water mark and move it, in one pass.
+    """Add the rows after the high-water mark, then move it to the newest of them.
 
     The batch is named after the mark it started from: a run that died before
     the mark moved is replaced by its retry. Rows arriving late with an older
@@ -67,10 +66,8 @@ def ingest_increment(cleaned: DataFrame, root: str, control: str, start: str = "
     spark = cleaned.sparkSession
     mark = get_watermark(spark, control)
     batch = "after-" + (mark or start).replace(":", "").replace("-", "")
-    seen = Observation("ingested")
-    fresh = newer_than(cleaned, mark, start).observe(seen, F.max(iso_text(F.col(TS))).alias("latest"))
-    append_months(fresh, root, batch)
-    latest = seen.get["latest"]
+    append_months(newer_than(cleaned, mark, start), root, batch)
+    latest = newest_in_batch(spark, root, batch)
     if latest is not None:
         set_watermark(spark, control, latest)
     return latest

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from stationflow.functions import bands
 from stationflow.functions.names import borough_from_flags
 from stationflow.operators.evaluate import congestion_drift, roc_auc
+from stationflow.operators.lookups import nested
 from stationflow.operators.rollups import average_day, normaliser, station_coordinates, week_slice
 from stationflow.operators.stations import all_lines, station_meta
 from stationflow.schema import RIDERSHIP, STATION, TS
@@ -85,10 +86,7 @@ def animation_week(ridership: DataFrame, year: int = 2025, start: str = "2025-10
 
 def nest_daily(daily: DataFrame) -> DataFrame:
     """One row per station with its 24 hours as a map."""
-    return daily.groupBy(STATION).agg(
-        F.max("lat").alias("lat"), F.max("lon").alias("lon"),
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("hour"), F.struct("r", "n"))))).alias("hours"),
-    )
+    return nested(daily, [STATION, "lat", "lon"], "hour", F.struct("r", "n"), "hours")
 
 
 def export_animation(ridership: DataFrame, stations: DataFrame, path: str, **options) -> None:

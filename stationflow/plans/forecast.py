@@ -11,7 +11,7 @@ from stationflow.functions.holidays import holiday_calendar
 from stationflow.functions.names import borough_from_flags
 from stationflow.functions.timeparts import dow_sunday0, ntz
 from stationflow.operators.features import add_holiday_features, add_time_features
-from stationflow.operators.lookups import profile_maps
+from stationflow.operators.lookups import nested, profile_maps
 from stationflow.operators.stations import best_names
 from stationflow.schema import FEATURE_COLS, STATION, STATION_FEATURES, TS
 
@@ -84,12 +84,8 @@ def forecast_meta(stations: DataFrame, forecast: DataFrame) -> DataFrame:
 
 def nest_forecast(forecast: DataFrame) -> DataFrame:
     """Export form: one row per station with {date: {hour: prob}}; its size is set by the days ahead."""
-    days = forecast.groupBy("station", "date").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("hour", "prob")))).alias("hours")
-    )
-    return days.groupBy("station").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("date").cast("string"), F.to_json("hours"))))).alias("dates")
-    )
+    days = nested(forecast, ["station", "date"], "hour", F.col("prob"), "hours")
+    return nested(days, ["station"], "date", F.col("hours"), "dates")
 
 
 def quietest_hour(forecast: DataFrame, reach: int = 2) -> DataFrame:

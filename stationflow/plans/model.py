@@ -66,8 +66,8 @@ def train_model(
     data = data.withColumn("_weight", F.when(F.col(target) == 1, F.lit(float(weight))).otherwise(F.lit(1.0)))
     inputs = [*features, KNOWN_FLAG]
     booster = GBTClassifier(
-        featuresCol="features", labelCol=target, weightCol="_weight", probabilityCol="probability",
-        predictionCol="prediction", cacheNodeIds=True, checkpointInterval=10, **{**SETTINGS, **overrides},
+        featuresCol="features", labelCol=target, weightCol="_weight",
+        cacheNodeIds=True, checkpointInterval=10, **{**SETTINGS, **overrides},
     )
     if validation is not None:
         booster = booster.setValidationIndicatorCol("_validation")

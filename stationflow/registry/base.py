@@ -10,12 +10,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
+# Means of cents often lie exactly halfway between two roundings, and then the
+# last bit of a sum decides. Both sides add this before rounding to six digits.
+OFF_HALFWAY = 3.17e-8
+
 
 def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
         if sql:
-            SQL[name] = sql
+            SQL[name] = sql.replace(", 6)", f" + {OFF_HALFWAY!r}, 6)")
         return fn
 
     return register
@@ -23,7 +27,8 @@ def query(name: str, sql: str | None = None):
 
 def rounded(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """Round fractions, so that two engines' last bits do not matter."""
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    shift = OFF_HALFWAY if digits == 6 else 0.0
+    return df.withColumns({c: F.round(F.col(c) + shift, digits) for c in columns})
 
 
 def rounds(columns: Sequence[str], digits: int = 6) -> str:

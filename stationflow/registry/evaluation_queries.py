@@ -14,7 +14,7 @@ from stationflow.plans.training import scored
 from stationflow.registry.adapters import DD, HH
 from stationflow.registry.base import query, rounded, rounds
 from stationflow.registry.feature_queries import (
-    LIMITS, congestion_label, event_stations, events_hourly, label_sql, labels, orders_hourly,
+    LIMITS, congestion_label, event_stations, events_table, label_sql, labels, orders_table,
 )
 
 
@@ -28,7 +28,7 @@ def scored_events(spark, sf_dir):
 
 
 def scored_orders(spark, sf_dir):
-    return scored(add_congestion_label(orders_hourly(spark, sf_dir)), ratio_score(200_000.0))
+    return scored(add_congestion_label(orders_table(spark, sf_dir)), ratio_score(200_000.0))
 
 
 def _scored_sql(source: str, scale: int) -> str:
@@ -48,7 +48,7 @@ SD = f"{DD}, {_scored_sql('dd', 200000)}"
     SELECT transit_timestamp, station_complex, ridership, CAST(rn <= floor(0.8 * n) AS INTEGER) AS is_train FROM x""",
 )
 def chrono_split(spark, sf_dir):
-    return evaluate.chronological_split(events_hourly(spark, sf_dir))
+    return evaluate.chronological_split(events_table(spark, sf_dir))
 
 
 @query("congestion_rate", f"WITH {S} SELECT round(AVG(is_congested), 6) AS congestion_rate, COUNT(*) AS n FROM s")
@@ -74,7 +74,7 @@ RATES = ["train_rate", "test_rate", "drift"]
 
 
 def orders_drift(spark, sf_dir):
-    train, test = evaluate.year_split(orders_hourly(spark, sf_dir), 1999, 2000)
+    train, test = evaluate.year_split(orders_table(spark, sf_dir), 1999, 2000)
     limits = labels.congestion_thresholds(train)
     return evaluate.congestion_drift(*[add_congestion_label(df, thresholds=limits) for df in (train, test)])
 
@@ -111,6 +111,10 @@ def confusion_matrix(spark, sf_dir):
     return evaluate.confusion_matrix(scored_events(spark, sf_dir))
 
 
+def ratio(part: str, whole: str) -> str:
+    return f"CASE WHEN {whole} > 0 THEN ({part}) / ({whole}) ELSE 0 END"
+
+
 PRF = ["precision", "recall", "f1_score"]
 
 
@@ -118,8 +122,9 @@ PRF = ["precision", "recall", "f1_score"]
     "classification_report",
     f"""WITH {S}, c AS (SELECT COUNT(*) FILTER (actual = 1 AND predicted = 1) AS tp, COUNT(*) FILTER (actual = 0 AND predicted = 1) AS fp,
       COUNT(*) FILTER (actual = 1 AND predicted = 0) AS fn, COUNT(*) FILTER (actual = 0 AND predicted = 0) AS tn FROM s),
-    k AS (SELECT '0' AS label, tn / (tn + fn) AS precision, tn / (tn + fp) AS recall, 2 * tn / (2 * tn + fn + fp) AS f1_score, tn + fp AS support FROM c
-      UNION ALL SELECT '1', tp / (tp + fp), tp / (tp + fn), 2 * tp / (2 * tp + fp + fn), tp + fn FROM c),
+    k AS (SELECT '0' AS label, {ratio('tn', 'tn + fn')} AS precision, {ratio('tn', 'tn + fp')} AS recall,
+        {ratio('2 * tn', '2 * tn + fn + fp')} AS f1_score, tn + fp AS support FROM c
+      UNION ALL SELECT '1', {ratio('tp', 'tp + fp')}, {ratio('tp', 'tp + fn')}, {ratio('2 * tp', '2 * tp + fp + fn')}, tp + fn FROM c),
     r AS (SELECT * FROM k
       UNION ALL SELECT 'accuracy', (tp + tn) / (tp + tn + fp + fn), (tp + tn) / (tp + tn + fp + fn), (tp + tn) / (tp + tn + fp + fn), tp + tn + fp + fn FROM c
       UNION ALL SELECT 'macro avg', AVG(precision), AVG(recall), AVG(f1_score), SUM(support) FROM k

@@ -14,6 +14,7 @@ from stationflow.plans.training import build_features
 from stationflow.registry.adapters import D, DD, H, HH, P, hourly_events, orders_view, part_names
 from stationflow.registry.base import query, rounded, rounds
 from stationflow.registry.rollup_queries import PROFILE
+from stationflow.session import materialise
 from stationflow.schema import BOROUGH_FLAGS, BOROUGHS, LAG_FEATURES, STATION_FEATURES, TERMINAL_STATIONS, WEEKDAY_FLAGS
 
 
@@ -25,6 +26,15 @@ def orders_hourly(spark, sf_dir):
     return hourly_ridership(orders_view(spark, sf_dir))
 
 
+def events_table(spark, sf_dir):
+    """The hourly series as a written table, for work that reads it several times."""
+    return materialise(events_hourly(spark, sf_dir), "hourly")
+
+
+def orders_table(spark, sf_dir):
+    return materialise(orders_hourly(spark, sf_dir), "hourly")
+
+
 # --- time ------------------------------------------------------------------------------
 def time_sql(ts: str = "transit_timestamp") -> str:
     hour, month, dow = f"hour({ts})", f"month({ts})", f"isodow({ts})"
@@ -109,12 +119,12 @@ H_MONTHLY = lag_sql("hh", (1, 24, 168), (24, 168), (24,), MONTHLY)
 
 @query("lag_features", f"WITH {HH} {H_LAGS}")
 def lag_features(spark, sf_dir):
-    return rounded(features.add_lag_features(events_hourly(spark, sf_dir)), ROLLS)
+    return rounded(features.add_lag_features(events_table(spark, sf_dir)), ROLLS)
 
 
 @query("lag_features_short_chunks", f"WITH {HH} {H_LAGS}")
 def lag_features_short_chunks(spark, sf_dir):
-    return rounded(features.add_lag_features(events_hourly(spark, sf_dir), chunk_rows=200), ROLLS)
+    return rounded(features.add_lag_features(events_table(spark, sf_dir), chunk_rows=200), ROLLS)
 
 
 @query("lag_features_monthly", f"WITH {DD} {lag_sql('dd', (1, 7, 28), (7, 28), (7,), MONTHLY)}")
@@ -144,12 +154,12 @@ def label_sql(source: str, where: str = "TRUE", extra: str = "") -> str:
 
 @query("thresholds", f"WITH {HH}, {LIMITS.format(source='hh', where='TRUE')} SELECT station_complex, round(threshold, 6) AS threshold FROM lim")
 def thresholds(spark, sf_dir):
-    return rounded(labels.congestion_thresholds(events_hourly(spark, sf_dir)), ["threshold"])
+    return rounded(labels.congestion_thresholds(events_table(spark, sf_dir)), ["threshold"])
 
 
 @query("congestion_label", f"WITH {HH}, {LIMITS.format(source='hh', where='TRUE')} {label_sql('hh')}")
 def congestion_label(spark, sf_dir):
-    return labels.add_congestion_label(events_hourly(spark, sf_dir))
+    return labels.add_congestion_label(events_table(spark, sf_dir))
 
 
 @query(
@@ -157,7 +167,7 @@ def congestion_label(spark, sf_dir):
     f"WITH {HH}, {LIMITS.format(source='hh', where='TRUE')} {label_sql('hh', extra='WHERE later IS NOT NULL')}",
 )
 def congestion_label_drop_tail(spark, sf_dir):
-    return labels.add_congestion_label(events_hourly(spark, sf_dir), tail="drop", chunk_rows=150)
+    return labels.add_congestion_label(events_table(spark, sf_dir), tail="drop", chunk_rows=150)
 
 
 @query(
@@ -166,7 +176,7 @@ def congestion_label_drop_tail(spark, sf_dir):
     {label_sql('dd', where="year(transit_timestamp) = 2000")}""",
 )
 def label_with_precomputed(spark, sf_dir):
-    hourly = orders_hourly(spark, sf_dir)
+    hourly = orders_table(spark, sf_dir)
     year = F.year("transit_timestamp")
     limits = labels.congestion_thresholds(hourly.where(year == 1999))
     return labels.add_congestion_label(hourly.where(year == 2000), thresholds=limits)
@@ -224,11 +234,11 @@ def merge_station_features(spark, sf_dir):
 @query(
     "station_tier",
     f"""WITH {D}, {PROFILE.format(source="d", years="1999, 2000")}, {TIER_SQL}
-    SELECT station_complex, round(avg_ridership, 4) AS avg_ridership, {TIER_CASE} AS station_tier FROM profile, edges""",
+    SELECT station_complex, round(avg_ridership, 6) AS avg_ridership, {TIER_CASE} AS station_tier FROM profile, edges""",
 )
 def station_tier(spark, sf_dir):
     df = stations.build_station_features(orders_view(spark, sf_dir), (1999, 2000))
-    return rounded(df.select("station_complex", "avg_ridership", "station_tier"), ["avg_ridership"], 4)
+    return rounded(df.select("station_complex", "avg_ridership", "station_tier"), ["avg_ridership"])
 
 
 NAMED = "names AS (SELECT DISTINCT station_complex FROM h UNION SELECT station_complex FROM p)"

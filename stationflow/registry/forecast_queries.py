@@ -14,7 +14,7 @@ from stationflow.registry.adapters import H, HH, hourly_events
 from stationflow.registry.base import query, rounded, rounds
 from stationflow.registry.evaluation_queries import S, auc_sql, scored_events
 from stationflow.registry.feature_queries import (
-    MEANS, STATIONS, WAVES, calendar_sql, event_stations, events_hourly, holiday_sql, time_sql,
+    MEANS, STATIONS, WAVES, calendar_sql, event_stations, events_hourly, events_table, holiday_sql, time_sql,
 )
 from stationflow.registry.rollup_queries import DAY
 from stationflow.schema import FEATURE_COLS, STATION_FEATURES
@@ -40,10 +40,11 @@ def lag_lookup(spark, sf_dir):
 
 @query(
     "lag_lookup_reloaded",
-    f"WITH {H}, {LOOKUP} SELECT * REPLACE (round_even(avg_ridership, 2) AS avg_ridership) FROM look",
+    f"WITH {H}, {LOOKUP} SELECT * REPLACE (round_even(avg_ridership, 4 + 2) AS avg_ridership) FROM look",
 )
 def lag_lookup_reloaded(spark, sf_dir):
-    return lookups.unnest_lookup(lookups.nest_lookup(event_lookup(spark, sf_dir)))
+    # six digits: means of few cents often lie halfway between two of two digits
+    return lookups.unnest_lookup(lookups.nest_lookup(event_lookup(spark, sf_dir), digits=6))
 
 
 @query(
@@ -84,7 +85,7 @@ def forecast_features(spark, sf_dir):
 
 def event_forecast(spark, sf_dir):
     scorer = lambda df: df.withColumn("predicted_prob", F.col("lag_168") / (F.col("lag_168") + 50.0))
-    limits = congestion_thresholds(events_hourly(spark, sf_dir))
+    limits = congestion_thresholds(events_table(spark, sf_dir))
     return forecast.run_forecast(event_stations(spark, sf_dir), event_lookup(spark, sf_dir), limits, scorer, START, DAYS)
 
 
@@ -109,8 +110,8 @@ def forecast_meta(spark, sf_dir):
 def forecast_nested(spark, sf_dir):
     """The nested export read back and counted."""
     nested = forecast.nest_forecast(event_forecast(spark, sf_dir))
-    dates = nested.select("station", F.explode("dates").alias("date", "text"))
-    cells = dates.select("station", "date", F.explode(F.from_json("text", "map<int,double>")).alias("hour", "prob"))
+    dates = nested.select("station", F.explode("dates").alias("date", "hours"))
+    cells = dates.select("station", "date", F.explode("hours").alias("hour", "prob"))
     counted = cells.groupBy("station").agg(
         F.countDistinct("date").alias("days"), F.count("*").alias("hours"), F.sum("prob").alias("total")
     )

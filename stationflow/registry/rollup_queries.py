@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stationflow.operators import rollups
 from stationflow.registry.adapters import D, DD, H, HH, hourly_events, hourly_sql, orders_view
 from stationflow.registry.base import query, rounded
+from stationflow.session import materialise
 from stationflow.sources.facts import distinct_months, in_years, only_stations, partition_keys
 
 RANGE = dict(start="2024-01-05", end="2024-01-20")
@@ -82,7 +83,7 @@ def dataset_summary(spark, sf_dir):
     round(MAX(ridership), 6) AS max FROM hh GROUP BY 1""",
 )
 def weekday_boxplot(spark, sf_dir):
-    return rounded(rollups.weekday_spread(hourly_rollup(spark, sf_dir)), ["min", "q1", "median", "q3", "max"])
+    return rounded(rollups.weekday_spread(materialise(hourly_rollup(spark, sf_dir), "hourly")), ["min", "q1", "median", "q3", "max"])
 
 
 @query(
@@ -106,12 +107,12 @@ PROFILE = """profile AS (SELECT station_complex, station_complex_id, borough, AV
 @query(
     "station_profile",
     f"""WITH {D}, {PROFILE.format(source="d", years="1999, 2000")}
-    SELECT station_complex, station_complex_id, borough, round(avg_ridership, 4) AS avg_ridership,
-    round(std_ridership, 4) AS std_ridership, max_ridership, months_of_data FROM profile""",
+    SELECT station_complex, station_complex_id, borough, round(avg_ridership, 6) AS avg_ridership,
+    round(std_ridership, 6) AS std_ridership, max_ridership, months_of_data FROM profile""",
 )
 def station_profile(spark, sf_dir):
     df = rollups.station_profile(orders_view(spark, sf_dir), (1999, 2000))
-    return rounded(df, ["avg_ridership", "std_ridership"], 4)
+    return rounded(df, ["avg_ridership", "std_ridership"])
 
 
 @query(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationflow.functions.timeparts import iso_text
 from stationflow.schema import BATCH_COL, PARTITION_COLS, TS
@@ -48,12 +48,19 @@ def append_months(df: DataFrame, root: str, batch: str | None = None) -> None:
     )
 
 
+def newest_in_batch(spark: SparkSession, root: str, batch: str) -> str | None:
+    """The newest timestamp written under a batch name; reads that batch's one column."""
+    schema = f"{TS} timestamp_ntz, year int, month int, {BATCH_COL} string"
+    stored = spark.read.schema(schema).parquet(root).where(F.col(BATCH_COL) == batch)
+    return stored.agg(F.max(iso_text(F.col(TS)))).first()[0]
+
+
 def replace_months_and_mark(df: DataFrame, root: str, control: str) -> None:
     """`replace_months`, then move the high-water mark to the newest row."""
-    seen = Observation("replaced")
-    replace_months(df.observe(seen, F.max(iso_text(F.col(TS))).alias("latest")), root)
-    if seen.get["latest"] is not None:
-        set_watermark(df.sparkSession, control, seen.get["latest"])
+    replace_months(df, root)
+    latest = df.agg(F.max(iso_text(F.col(TS)))).first()[0]
+    if latest is not None:
+        set_watermark(df.sparkSession, control, latest)
 
 
 # --- high-water mark ---------------------------------------------------------------
