@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,15 +12,29 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 # Means of cents often lie exactly halfway between two roundings, and then the
-# last bit of a sum decides. Both sides add this before rounding to six digits.
+# last bit of a sum decides. Both sides add this before they round.
 OFF_HALFWAY = 3.17e-8
 
 
+def _off_halfway(sql: str) -> str:
+    """Every `round(x, n)` of the text as `round(x + OFF_HALFWAY, n)`."""
+    out, at = [], 0
+    for call in re.finditer(r"\bround\(", sql):
+        depth, i = 1, call.end()
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[i], 0)
+            i += 1
+        comma = sql.rindex(",", call.end(), i)
+        out += [sql[at:comma], f" + {OFF_HALFWAY!r}"]
+        at = comma
+    return "".join(out) + sql[at:]
+
+
 def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
         if sql:
-            SQL[name] = sql.replace(", 6)", f" + {OFF_HALFWAY!r}, 6)")
+            SQL[name] = _off_halfway(sql)
         return fn
 
     return register
@@ -27,8 +42,7 @@ def query(name: str, sql: str | None = None):
 
 def rounded(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """Round fractions, so that two engines' last bits do not matter."""
-    shift = OFF_HALFWAY if digits == 6 else 0.0
-    return df.withColumns({c: F.round(F.col(c) + shift, digits) for c in columns})
+    return df.withColumns({c: F.round(F.col(c) + OFF_HALFWAY, digits) for c in columns})
 
 
 def rounds(columns: Sequence[str], digits: int = 6) -> str:

@@ -98,13 +98,13 @@ def holiday_dates(spark, sf_dir):
 
 
 # --- lags -----------------------------------------------------------------------------
-def lag_sql(source: str, lags, means, stds, partition: str = "station_complex") -> str:
+def lag_sql(source: str, lags, means, stds, partition: str = "station_complex", digits: int = 6) -> str:
     over = f"PARTITION BY {partition} ORDER BY transit_timestamp"
     frame = lambda n: f"({over} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
     columns = [f"lag(ridership, {n}) OVER ({over}) AS lag_{n}" for n in lags]
     for kind, fn, sizes in (("mean", "avg", means), ("std", "stddev_samp", stds)):
         columns += [
-            f"round(CASE WHEN count(ridership) OVER {frame(n)} >= {n // 2} THEN {fn}(ridership) OVER {frame(n)} END, 6) AS roll_{kind}_{n}"
+            f"round(CASE WHEN count(ridership) OVER {frame(n)} >= {n // 2} THEN {fn}(ridership) OVER {frame(n)} END, {digits}) AS roll_{kind}_{n}"
             for n in sizes
         ]
     return f"SELECT *, {', '.join(columns)} FROM {source}"
@@ -127,10 +127,10 @@ def lag_features_short_chunks(spark, sf_dir):
     return rounded(features.add_lag_features(events_table(spark, sf_dir), chunk_rows=200), ROLLS)
 
 
-@query("lag_features_monthly", f"WITH {DD} {lag_sql('dd', (1, 7, 28), (7, 28), (7,), MONTHLY)}")
+@query("lag_features_monthly", f"WITH {DD} {lag_sql('dd', (1, 7, 28), (7, 28), (7,), MONTHLY, 4)}")
 def lag_features_monthly(spark, sf_dir):
     df = features.add_lag_features(orders_hourly(spark, sf_dir), reset_by="month", **SHORT)
-    return rounded(df, ["roll_mean_7", "roll_mean_28", "roll_std_7"])
+    return rounded(df, ["roll_mean_7", "roll_mean_28", "roll_std_7"], 4)
 
 
 @query(

@@ -40,11 +40,11 @@ def lag_lookup(spark, sf_dir):
 
 @query(
     "lag_lookup_reloaded",
-    f"WITH {H}, {LOOKUP} SELECT * REPLACE (round_even(avg_ridership, 4 + 2) AS avg_ridership) FROM look",
+    f"WITH {H}, {LOOKUP} SELECT * REPLACE (round_even(avg_ridership, 5) AS avg_ridership) FROM look",
 )
 def lag_lookup_reloaded(spark, sf_dir):
-    # six digits: means of few cents often lie halfway between two of two digits
-    return lookups.unnest_lookup(lookups.nest_lookup(event_lookup(spark, sf_dir), digits=6))
+    # five digits: means of few cents often lie halfway between two of two digits
+    return lookups.unnest_lookup(lookups.nest_lookup(event_lookup(spark, sf_dir), digits=5))
 
 
 @query(
@@ -182,6 +182,7 @@ def map_export(spark, sf_dir):
     return event_map(spark, sf_dir)
 
 
+PERCENT = "concat(CAST(CAST(CAST({x} * 100 AS DECIMAL(18, 6)) AS DECIMAL(18, 1)) AS VARCHAR), '%')"
 CLAMP = "round(least(1.0, greatest(0.0, {x})), 6)"
 
 
@@ -189,8 +190,8 @@ CLAMP = "round(least(1.0, greatest(0.0, {x})), 6)"
     "map_details",
     f"""{MAP} SELECT m.*, {CLAMP.format(x='(congestion_rate - 0.10) / 0.32')} AS rate_position, {CLAMP.format(x='(drift + 0.10) / 0.22')} AS drift_position,
     {CLAMP.format(x='1 - (auc - 0.92) / 0.07')} AS auc_position, CAST(4 + station_tier * 1.5 AS DOUBLE) AS radius,
-    format('{{:.1f}}%', congestion_rate * 100) AS rate_text,
-    concat(CASE WHEN drift >= 0 THEN '+' ELSE '' END, format('{{:.1f}}%', drift * 100)) AS drift_text,
+    {PERCENT.format(x='congestion_rate')} AS rate_text,
+    concat(CASE WHEN drift >= 0 THEN '+' ELSE '' END, {PERCENT.format(x='drift')}) AS drift_text,
     CASE WHEN coalesce(auc, 0) = 0 THEN 'N/A' ELSE format('{{:.4f}}', auc) END AS auc_text FROM m""",
 )
 def map_details(spark, sf_dir):
