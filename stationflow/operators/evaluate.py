@@ -109,9 +109,9 @@ def _score_bin(p: Column) -> Column:
     """A whole number that rises with the score; fine near 0 and 1, where
     classifier scores crowd. Scores outside (0, 1) share an end bin."""
     return (
-        F.when(p <= 0, F.lit(-4000))
-        .when(p >= 1, F.lit(4000))
-        .otherwise(F.floor(F.log(p / (1 - p)) * 50).cast("int"))
+        F.when(p <= 0, F.lit(-20_000))
+        .when(p >= 1, F.lit(20_000))
+        .otherwise(F.greatest(F.lit(-20_000), F.floor(F.log(p / (1 - p)) * 500).cast("int")))
     )
 
 
@@ -185,7 +185,7 @@ def roc_points(
     down = Window.orderBy(F.desc("_bin"))
     above = down.rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    # at most 8,001 bins: the one table small enough for a window without keys
+    # at most 40,001 bins: the one table small enough for a window without keys
     starts = bins.select(
         F.col("_bin").alias("_b"),
         F.coalesce(F.sum("_bin_pos").over(above), F.lit(0)).alias("_pos_above"),
@@ -236,37 +236,56 @@ def calibration_curve(df: DataFrame, bins: int = 10) -> DataFrame:
 
 def score_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
     """Counts per class in equal-width bins over that class's own score range."""
-    span = df.groupBy(ACTUAL).agg(F.min(SCORE).alias("_lo"), F.max(SCORE).alias("_hi"))
-    flat = F.col("_lo") == F.col("_hi")
-    span = span.select(
-        F.col(ACTUAL).alias("_class"),
-        F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
-        F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"),
-    )
-    step = (F.col("_hi") - F.col("_lo")) / bins
-    place = F.least(F.lit(bins - 1), F.floor((F.col(SCORE) - F.col("_lo")) / step).cast("int"))
+    edges = []
+    for label in (0, 1):
+        own = F.when(F.col(ACTUAL) == label, F.col(SCORE))
+        edges += [F.min(own).alias(f"lo{label}"), F.max(own).alias(f"hi{label}")]
+    span = df.agg(F.struct(*edges).alias("span"))
+
+    def bounds(source: str, label: Column) -> tuple[Column, Column]:
+        lo = F.when(label == 0, F.col(f"{source}.lo0")).otherwise(F.col(f"{source}.lo1"))
+        hi = F.when(label == 0, F.col(f"{source}.hi0")).otherwise(F.col(f"{source}.hi1"))
+        pad = F.when(lo == hi, 0.5).otherwise(0.0)
+        return lo - pad, (hi - lo + pad * 2) / bins
+
+    low, step = bounds("_span", F.col(ACTUAL))
+    place = F.least(F.lit(bins - 1), F.floor((F.col(SCORE) - low) / step).cast("int"))
     counted = (
-        df.join(span, F.col(ACTUAL) == F.col("_class"))
+        df.select(ACTUAL, SCORE)
+        .withColumn("_span", span.scalar())
         .groupBy(ACTUAL, place.alias("bin"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     frame = span.select(
-        F.col("_class").alias(ACTUAL), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "_lo", "_hi"
-    )
+        "span", F.explode(F.array(F.lit(0), F.lit(1))).alias(ACTUAL)
+    ).select("span", ACTUAL, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    low, step = bounds("span", F.col(ACTUAL))
+    frame = frame.select(ACTUAL, "bin", (low + F.col("bin") * step).alias("left_edge")).where("left_edge IS NOT NULL")
     return frame.join(counted, [ACTUAL, "bin"], "left").select(
-        ACTUAL, "bin", (F.col("_lo") + F.col("bin") * step).alias("left_edge"), F.coalesce("_n", F.lit(0)).alias("n")
+        ACTUAL, "bin", "left_edge", F.coalesce("_n", F.lit(0)).alias("n")
     )
 
 
 def hourly_pattern(df: DataFrame) -> DataFrame:
     """Mean score beside mean normalised ridership per hour, the score rescaled to
     the range of the ridership, and the peak hour of each."""
-    span = df.groupBy(STATION).agg(F.min(RIDERSHIP).alias("_lo"), F.max(RIDERSHIP).alias("_hi"))
-    norm = (F.col(RIDERSHIP) - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1e-6)
+    # sums per station and hour first: the normalised mean follows from them, so
+    # the rows are read once and never joined to their station's range
+    cells = df.groupBy(STATION, F.hour(TS).alias("hour")).agg(
+        F.sum(SCORE).alias("_p"), F.count(SCORE).alias("_np"),
+        F.sum(RIDERSHIP).alias("_x"), F.count(RIDERSHIP).alias("_nx"),
+        F.min(RIDERSHIP).alias("_lo"), F.max(RIDERSHIP).alias("_hi"),
+    )
+    station = Window.partitionBy(STATION)
+    lowest, highest = F.min("_lo").over(station), F.max("_hi").over(station)
+    norm = (F.col("_x") - F.col("_nx") * lowest) / (highest - lowest + 1e-6)
     hourly = (
-        df.join(span, STATION)
-        .groupBy(F.hour(TS).alias("hour"))
-        .agg(F.avg(SCORE).alias("predicted"), F.avg(norm).alias("actual"))
+        cells.withColumn("_norm", norm)
+        .groupBy("hour")
+        .agg(
+            F.try_divide(F.sum("_p"), F.sum("_np")).alias("predicted"),
+            F.try_divide(F.sum("_norm"), F.sum("_nx")).alias("actual"),
+        )
     )
     day = Window.partitionBy()  # 24 rows
     lo = lambda c: F.min(c).over(day)

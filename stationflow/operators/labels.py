@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from stationflow.operators.ordered import CHUNK_ROWS, in_chunks
 from stationflow.operators.quantiles import exact_quantiles
 from stationflow.schema import RIDERSHIP, STATION, TARGET_COL, TS
+from stationflow.session import materialise
 
 
 def congestion_thresholds(df: DataFrame, threshold: float = 0.8, station_col: str = STATION) -> DataFrame:
@@ -28,8 +29,9 @@ def add_congestion_label(
     if tail not in ("zero", "drop"):
         raise ValueError("tail is 'zero' or 'drop'")
     given = df.columns
-    limits = thresholds if thresholds is not None else congestion_thresholds(df, threshold, station_col)
-    limits = limits.select(F.col(station_col).alias("_station"), F.col("threshold").alias("_threshold"))
+    if thresholds is None:
+        thresholds = materialise(congestion_thresholds(df, threshold, station_col), "thresholds")
+    limits = thresholds.select(F.col(station_col).alias("_station"), F.col("threshold").alias("_threshold"))
     if chunk_rows is None:
         later = F.lead(F.struct(RIDERSHIP), horizon).over(Window.partitionBy(station_col).orderBy(ts))
         ahead = df.withColumn("_later", later)

@@ -15,13 +15,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 CHUNK_ROWS = 50_000
 
 
-def _same(keys: Sequence[str], prefix: str) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).eqNullSafe(F.col(prefix + key))
-    return condition
-
-
 def number_rows(
     df: DataFrame, keys: Sequence[str], order: str, bucket: Column | None = None,
     name: str = "_row", total: str | None = None, ties: Sequence[str] = (),
@@ -29,25 +22,33 @@ def number_rows(
     """Add the 1-based position of each row inside its key, ordered by `order`.
 
     `bucket` must rise with `order`; by default it is the day of a timestamp.
-    `total` names an optional column with the key's row count.
+    `total` names an optional column with the key's row count. The starting
+    position of a bucket travels as one extra row into the bucket's group, so
+    the rows themselves are shuffled once, by (key, bucket).
     """
     tagged = df.withColumn("_bucket", bucket if bucket is not None else F.col(order).cast("date"))
-    sizes = tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     key_window = Window.partitionBy(*keys)
     earlier = key_window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        *[F.col(k).alias("_k_" + k) for k in [*keys, "_bucket"]],
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"),
-        F.sum("_n").over(key_window).alias("_total"),
+    starts = (
+        tagged.groupBy(*keys, "_bucket")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(
+            *keys, "_bucket",
+            F.struct(
+                F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("start"),
+                F.sum("_n").over(key_window).alias("total"),
+            ).alias("_head"),
+        )
     )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(order, *ties)
-    numbered = (
-        tagged.withColumn("_inside", F.row_number().over(inside))
-        .join(starts, _same([*keys, "_bucket"], "_k_"))
-        .withColumn(name, F.col("_start") + F.col("_inside"))
+    both = tagged.withColumn("_is_head", F.lit(0)).unionByName(
+        starts.withColumn("_is_head", F.lit(1)), allowMissingColumns=True
     )
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(F.desc("_is_head"), order, *ties)
+    head = F.first("_head").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    placed = both.withColumns({"_place": F.row_number().over(inside), "_head": head}).where("_is_head = 0")
+    numbered = placed.withColumn(name, F.col("_head.start") + F.col("_place") - 1)
     if total:
-        numbered = numbered.withColumn(total, F.col("_total"))
+        numbered = numbered.withColumn(total, F.col("_head.total"))
     return numbered.select(*df.columns, name, *([total] if total else []))
 
 

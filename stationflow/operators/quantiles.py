@@ -14,6 +14,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from stationflow.session import materialise
+
 SKETCH_ACCURACY = 10_000
 MARGIN = 0.001
 SMALL_GROUP = 10_000
@@ -23,7 +25,11 @@ def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str],
     small_group: int = SMALL_GROUP,
 ) -> DataFrame:
-    """One row per key with a column per quantile; NULL values are left out."""
+    """One row per key with a column per quantile; NULL values are left out.
+
+    With keys the brackets are written first: from their real size Catalyst
+    decides whether they are broadcast, and the data is not shuffled by key.
+    """
     keys, probs = list(keys), [float(p) for p in probs]
     data = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
 
@@ -51,7 +57,7 @@ def exact_quantiles(
     # count below refers to the same bracket.
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("_k_" + k)) for k in keys], F.lit(True))
     if keys:
-        joined = data.join(bounds, same)
+        joined = data.join(materialise(bounds, "brackets"), same)
     else:
         row = bounds.select(F.struct("*").alias("_b")).scalar()
         joined = data.withColumn("_b", row).select("_x", "_b.*")

@@ -138,7 +138,7 @@ def _take(df: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def rename_stations(df: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
     """Give renamed stations their canonical name."""
-    return _take(df, _after_renaming(df, aliases))
+    return _take(df, materialise(_after_renaming(df, aliases), "names"))
 
 
 def best_names(stations: DataFrame, known: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
@@ -160,4 +160,4 @@ def best_names(stations: DataFrame, known: DataFrame, aliases: dict[str, str] |
 
 def deduplicate_stations(df: DataFrame, known: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
     """Keep one name per station in a frame of predictions."""
-    return _take(df, best_names(df, known, aliases))
+    return _take(df, materialise(best_names(df, known, aliases), "names"))

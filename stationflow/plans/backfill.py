@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationflow.schema import PARTITION_COLS, TS
+from stationflow.session import materialise
 from stationflow.sources.facts import partition_keys
 from stationflow.sources.landed import newer_than
 from stationflow.sources.sinks import append_months, get_watermark, newest_in_batch, replace_months, set_watermark
@@ -43,8 +44,12 @@ def backfill(
     cleaned: DataFrame, stored: DataFrame | None, root: str, first_year: int, last_year: int,
     min_rows: int = COMPLETE_MONTH_ROWS,
 ) -> None:
-    """Load every incomplete month from the landed rows in one job, replacing it."""
+    """Load every incomplete month from the landed rows in one job, replacing it.
+
+    The list of months is settled, and written, before the table changes.
+    """
     todo = incomplete_months(month_plan(cleaned.sparkSession, first_year, last_year), stored, min_rows)
+    todo = materialise(todo, "months")
     rows = partition_keys(cleaned).join(todo.select(*PARTITION_COLS), PARTITION_COLS, "left_semi")
     replace_months(rows.drop(*PARTITION_COLS), root)
 

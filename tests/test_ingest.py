@@ -94,15 +94,16 @@ def test_month_plan_and_completeness(spark):
     assert todo.count() == 23 and {(r.year, r.month): r.n for r in todo.collect()}[(2023, 2)] == 1
 
 
-def test_range_filter_prunes_partitions(spark, tmp_path):
+def test_range_filter_prunes_partitions(spark, tmp_path, capsys):
     root = f"{tmp_path}/fact"
     sinks.replace_months(rows(spark, *[("A", f"2024-{m:02d}-05T00:00:00", m) for m in range(1, 13)]), root)
     df = facts.select_range(facts.read_ridership(spark, root), "A", "2024-03-01", "2024-06-01")
     assert sorted(r.month for r in df.collect()) == [3, 4, 5]
-    plan = hourly_ridership(facts.read_ridership(spark, root), "A", "2024-03-01", "2024-06-01")._jdf.queryExecution().executedPlan().toString()
-    scan = [line for line in plan.splitlines() if "FileScan" in line][0]
-    assert "PartitionFilters: []" not in scan and "GreaterThanOrEqual(transit_timestamp" in scan
-    assert "latitude" not in scan.split("ReadSchema")[1]
+    capsys.readouterr()
+    hourly_ridership(facts.read_ridership(spark, root), "A", "2024-03-01", "2024-06-01").explain("formatted")
+    plan = {line.split(":")[0].strip(): line for line in capsys.readouterr().out.splitlines()}
+    assert "month" in plan["PartitionFilters"] and "GreaterThanOrEqual(transit_timestamp" in plan["PushedFilters"]
+    assert "latitude" not in plan["ReadSchema"]
 
 
 def test_stream_takes_each_page_once(spark, tmp_path):
