@@ -6,30 +6,33 @@ from pyspark.sql import DataFrame, functions as F
 
 from stationflow.functions import bands
 from stationflow.functions.names import borough_from_flags
-from stationflow.operators.evaluate import congestion_drift, roc_auc
+from stationflow.operators.evaluate import roc_auc
 from stationflow.operators.lookups import nested
 from stationflow.operators.rollups import average_day, normaliser, station_coordinates, week_slice
 from stationflow.operators.stations import all_lines, station_meta
-from stationflow.schema import RIDERSHIP, STATION, TS
+from stationflow.schema import RIDERSHIP, STATION, TARGET_COL, TS
+from stationflow.sources.sinks import write_json
 
 
 def station_map(ridership: DataFrame, train: DataFrame, scored: DataFrame, stations: DataFrame, years=(2023, 2024)) -> DataFrame:
     """One record per station with coordinates: rate, drift, AUC, size.
 
     Every part is one grouped pass over its frame, joined at station grain.
-    Stations without coordinates are left out; a missing drift counts as 0.
+    `scored` is read twice, so pass a written table. Stations without
+    coordinates are left out; a missing drift counts as 0.
     """
     rates = scored.groupBy(STATION).agg(
         F.avg("actual").alias("rate"), F.max("num_lines").alias("num_lines"), F.max("station_tier").alias("station_tier")
     )
-    drift = congestion_drift(train, scored).select(STATION, "drift")
+    before = train.groupBy(STATION).agg(F.avg(TARGET_COL).alias("train_rate"))
     aucs = roc_auc(scored, [STATION]).select(STATION, "auc")
     boroughs = stations.select(STATION, borough_from_flags().alias("borough")).groupBy(STATION).agg(F.min("borough").alias("borough"))
     return (
         rates.join(station_coordinates(ridership, years), STATION)
-        .join(drift, STATION, "left")
+        .join(before, STATION, "left")
         .join(aucs, STATION, "left")
         .join(boroughs, STATION, "left")
+        .withColumn("drift", F.col("rate") - F.col("train_rate"))
         .select(
             F.col(STATION).alias("name"),
             F.bround("lat", 5).alias("lat"),
@@ -97,8 +100,3 @@ def export_animation(ridership: DataFrame, stations: DataFrame, path: str, **opt
     write_json(animation_week(ridership, **options), f"{path}/week")
     write_json(meta, f"{path}/meta")
     write_json(all_lines(meta), f"{path}/all_lines")
-
-
-def write_json(df: DataFrame, path: str) -> None:
-    """JSON lines, NULL fields kept."""
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)

@@ -14,6 +14,8 @@ from stationflow.operators.features import add_holiday_features, add_time_featur
 from stationflow.operators.lookups import nested, profile_maps
 from stationflow.operators.stations import best_names
 from stationflow.schema import FEATURE_COLS, STATION, STATION_FEATURES, TS
+from stationflow.session import materialise
+from stationflow.sources.sinks import write_json
 
 
 def forecast_features(
@@ -88,6 +90,28 @@ def nest_forecast(forecast: DataFrame) -> DataFrame:
     return nested(days, ["station"], "date", F.col("hours"), "dates")
 
 
+def forecast_info(forecast: DataFrame, generated_at: str) -> DataFrame:
+    """One row about a forecast run; the caller says when it was made."""
+    return forecast.agg(
+        F.lit(generated_at).alias("generated_at"),
+        F.countDistinct("date").alias("days_ahead"),
+        F.min("date").alias("start_date"),
+        F.max("date").alias("end_date"),
+        F.countDistinct("station").alias("stations"),
+    )
+
+
+def export_forecast(forecast: DataFrame, stations: DataFrame, path: str, generated_at: str) -> None:
+    """Write predictions, station meta and run info as JSON-lines folders.
+
+    The forecast is written once as a table, which the three parts read.
+    """
+    stored = materialise(forecast, "forecast")
+    write_json(nest_forecast(stored), f"{path}/predictions")
+    write_json(forecast_meta(stations, stored), f"{path}/meta")
+    write_json(forecast_info(stored, generated_at), f"{path}/info")
+
+
 def quietest_hour(forecast: DataFrame, reach: int = 2) -> DataFrame:
     """For each hour the quietest one within `reach` hours of it on that day.
 

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from stationflow.operators import evaluate
 from stationflow.operators.labels import add_congestion_label
 from stationflow.operators.rollups import hour_weekday_matrix
+from stationflow.operators.stations import build_station_features
+from stationflow.plans import model, training
 from stationflow.plans.training import scored
-from stationflow.registry.adapters import DD, HH
+from stationflow.registry.adapters import DD, HH, orders_view
 from stationflow.registry.base import query, rounded, rounds
 from stationflow.registry.feature_queries import (
-    LIMITS, congestion_label, event_stations, events_table, label_sql, labels, orders_table,
+    LIMITS, MONTHLY, calendar_sql, congestion_label, events_table, holiday_sql, label_sql, labels, lag_sql, orders_table,
 )
+from stationflow.session import materialise, scratch_path
 
 
 def ratio_score(scale: float):
@@ -166,8 +169,6 @@ def auc_by_station(spark, sf_dir):
     sb AS (SELECT s.*, borough FROM s JOIN places USING (station_complex)), {auc_sql('sb', 'borough')}""",
 )
 def auc_by_borough(spark, sf_dir):
-    from stationflow.registry.adapters import orders_view
-
     places = orders_view(spark, sf_dir).select("station_complex", "borough").distinct()
     return rounded(evaluate.roc_auc(scored_orders(spark, sf_dir).join(places, "station_complex"), ["borough"]), AUC)
 
@@ -262,6 +263,57 @@ def hourly_pattern(spark, sf_dir):
     round(COUNT(*) FILTER (is_congested = 0) / COUNT(*) FILTER (is_congested = 1), 6) AS positive_weight FROM s""",
 )
 def class_balance(spark, sf_dir):
-    from stationflow.plans.model import class_balance as balance
+    return rounded(model.class_balance(congestion_label(spark, sf_dir)), ["positive_weight"])
+
+
+# --- training and evaluation frames ----------------------------------------------------------
+# a station has about eight orders a month in the small tables, so lags are short
+BRIEF = dict(lags=(1, 3), mean_windows=(2, 4), std_windows=(4,))
+KEPT = f"""{DD}, {calendar_sql(1998, 2002)}, w AS (SELECT * FROM dd WHERE transit_timestamp >= '1999-01-01' AND transit_timestamp < '2001-01-01'),
+  f AS ({lag_sql('w', (1, 3), (2, 4), (4,), MONTHLY, 4)}),
+  k AS (SELECT *, {holiday_sql()} FROM f WHERE lag_3 IS NOT NULL AND roll_mean_2 IS NOT NULL AND roll_mean_4 IS NOT NULL AND roll_std_4 IS NOT NULL)"""
+SHOWN = ["transit_timestamp", "station_complex", "ridership", "lag_1", "lag_3", "is_holiday", "is_holiday_eve", "is_congested"]
+
+
+def order_stations(spark, sf_dir):
+    return build_station_features(orders_view(spark, sf_dir), (1999, 2000))
+
+
+@query(
+    "training_frames",
+    f"""WITH {KEPT}, {LIMITS.format(source='k', where='year(transit_timestamp) = 1999')},
+    l1 AS ({label_sql('k', 'year(transit_timestamp) = 1999')}), l2 AS ({label_sql('k', 'year(transit_timestamp) = 2000')})
+    SELECT 'train' AS part, {', '.join(SHOWN)} FROM l1 UNION ALL SELECT 'test', {', '.join(SHOWN)} FROM l2""",
+)
+def training_frames(spark, sf_dir):
+    train, test, _ = training.build_training_data(orders_view(spark, sf_dir), order_stations(spark, sf_dir), 1999, 2000, **BRIEF)
+    part = lambda df, name: df.select(F.lit(name).alias("part"), *SHOWN)
+    return part(train, "train").unionByName(part(test, "test"))
+
+
+@query(
+    "evaluation_set",
+    f"""WITH {KEPT}, {LIMITS.format(source='dd', where='year(transit_timestamp) = 1999')},
+    late AS (SELECT * FROM k WHERE transit_timestamp >= '2000-03-01')
+    {label_sql('late').replace("x.* EXCLUDE (later)", ", ".join("x." + c for c in SHOWN[:-1]))}""",
+)
+def evaluation_set(spark, sf_dir):
+    limits = labels.congestion_thresholds(orders_table(spark, sf_dir).where(F.year("transit_timestamp") == 1999))
+    df = training.evaluation_set(
+        orders_view(spark, sf_dir), order_stations(spark, sf_dir), limits, "2000-03-01", "2001-01-01", **BRIEF
+    )
+    return df.select(*SHOWN)
+
 
-    return rounded(balance(congestion_label(spark, sf_dir)), ["positive_weight"])
+@query(
+    "auc_progress",
+    f"""WITH {S}, one AS (SELECT * FROM s WHERE station_complex = 'Plain Plaza'), a AS (WITH {auc_sql('one')}), b AS (WITH {auc_sql('s')})
+    SELECT 'one station' AS stage, auc, n FROM a UNION ALL SELECT 'all stations', auc, n FROM b""",
+)
+def auc_progress(spark, sf_dir):
+    path = scratch_path(spark, "progress")
+    scored_frame = materialise(scored_events(spark, sf_dir), "scored")
+    stages = {"one station": scored_frame.where("station_complex = 'Plain Plaza'"), "all stations": scored_frame}
+    for stage, frame in stages.items():
+        model.record_metric(spark, path, stage, evaluate.roc_auc(frame))
+    return rounded(model.load_table(spark, path), ["auc"])

@@ -17,7 +17,8 @@ from stationflow.registry.feature_queries import (
     MEANS, STATIONS, WAVES, calendar_sql, event_stations, events_hourly, events_table, holiday_sql, time_sql,
 )
 from stationflow.registry.rollup_queries import DAY
-from stationflow.schema import FEATURE_COLS, STATION_FEATURES
+from stationflow.schema import STATION_FEATURES
+from stationflow.session import materialise
 
 START, DAYS = "2024-02-10", 21
 
@@ -103,6 +104,15 @@ def forecast_meta(spark, sf_dir):
     return forecast.forecast_meta(event_stations(spark, sf_dir), event_forecast(spark, sf_dir))
 
 
+@query(
+    "forecast_info",
+    f"""WITH {FORECAST} SELECT CAST('2024-02-09 06:00' AS VARCHAR) AS generated_at, COUNT(DISTINCT date) AS days_ahead,
+    MIN(date) AS start_date, MAX(date) AS end_date, COUNT(DISTINCT station) AS stations FROM fc""",
+)
+def forecast_info(spark, sf_dir):
+    return forecast.forecast_info(event_forecast(spark, sf_dir), "2024-02-09 06:00")
+
+
 @query(
     "forecast_nested",
     f"WITH {FORECAST} SELECT station, COUNT(DISTINCT date) AS days, COUNT(*) AS hours, round(SUM(prob), 3) AS total FROM fc GROUP BY 1",
@@ -172,7 +182,7 @@ MAP = f"""WITH {S}, {STATIONS}, r1 AS (SELECT station_complex, AVG(is_congested)
 
 def event_map(spark, sf_dir):
     stations = event_stations(spark, sf_dir)
-    scored = merge_station_features(scored_events(spark, sf_dir), stations)
+    scored = materialise(merge_station_features(scored_events(spark, sf_dir), stations), "scored")
     train = scored.where(F.col("transit_timestamp") < F.lit("2024-01-16").cast("timestamp_ntz"))
     return exports.station_map(hourly_events(spark, sf_dir), train, scored, stations)
 

@@ -10,6 +10,7 @@ from stationflow.functions.timeparts import hour_label, weekday_only
 from stationflow.operators import lookups, stations
 from stationflow.plans import exports, forecast
 from stationflow.schema import BOROUGH_FLAGS, FEATURE_COLS, STATION_FEATURES
+from stationflow.sources.sinks import write_json
 
 
 def frame(spark, rows, schema="station_complex string"):
@@ -144,7 +145,7 @@ def test_quietest_hour(spark):
 
 def test_lookup_export_and_reload(spark, small_forecast, tmp_path):
     _, lookup = small_forecast
-    exports.write_json(lookups.nest_lookup(lookup), f"{tmp_path}/lookup")
+    write_json(lookups.nest_lookup(lookup), f"{tmp_path}/lookup")
     exported = spark.read.schema("station_complex string, dows map<string,map<string,double>>").json(f"{tmp_path}/lookup")
     back = lookups.unnest_lookup(exported)
     assert back.exceptAll(lookup).count() == 0 and lookup.exceptAll(back).count() == 0
@@ -168,3 +169,24 @@ def test_map_defaults(spark, hours):
     assert [(r.name, r.lat, r.drift, r.auc, r.borough) for r in got] == [("A", 40.12346, 0.0, None, "Unknown")]
     details = exports.map_details(exports.station_map(fact, scored, scored, table)).first()
     assert details.auc_text == "N/A" and details.radius == 8.5
+
+
+def test_exports_are_json_lines(spark, small_forecast, hours, tmp_path):
+    table, lookup = small_forecast
+    limits = frame(spark, [("A", 1.0)], "station_complex string, threshold double")
+    scorer = lambda df: df.withColumn("predicted_prob", F.lit(0.5))
+    df = forecast.run_forecast(table, lookup, limits, scorer, "2024-11-04", 2)
+    forecast.export_forecast(df, table, f"{tmp_path}/forecast", "2024-11-03 06:00")
+    info = spark.read.json(f"{tmp_path}/forecast/info").first()
+    assert (info.days_ahead, info.start_date, info.end_date, info.stations) == (2, "2024-11-04", "2024-11-05", 1)
+    assert spark.read.json(f"{tmp_path}/forecast/meta").first().borough == "Manhattan"
+
+    fact = hours([("A (1,2)", "2025-10-07T08:00:00", 10.0), ("A (1,2)", "2025-10-07T08:00:00", 30.0)])
+    fact = fact.withColumns({"latitude": F.lit(40.0), "longitude": F.lit(-73.0)})
+    stations_table = frame(spark, ["A (1,2)"]).select("station_complex", *[F.lit(1).alias(c) for c in STATION_FEATURES])
+    exports.export_animation(fact, stations_table, f"{tmp_path}/animation")
+    daily = spark.read.json(f"{tmp_path}/animation/daily").first()
+    assert (daily.hours["8"].r, daily.hours["8"].n) == (20.0, 1.0)  # per record
+    week = spark.read.json(f"{tmp_path}/animation/week").first()
+    assert (week.r, week.n) == (40.0, 1.0)  # per hour, at most 1
+    assert sorted(r.line for r in spark.read.json(f"{tmp_path}/animation/all_lines").collect()) == ["1", "2"]
