@@ -18,7 +18,8 @@ def ntz(value: str | Column) -> Column:
 
 
 def hour_floor(ts: Column) -> Column:
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+    """The start of the hour; stays clear of time zones, which `date_trunc` does not."""
+    return ts.cast("date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(ts))
 
 
 def month_floor(ts: Column) -> Column:

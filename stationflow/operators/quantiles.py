@@ -4,7 +4,8 @@ The built-in exact `percentile` keeps every distinct value of a group in one
 buffer. Here a mergeable sketch first brackets each wanted rank, then one
 aggregation counts what lies between the brackets and keeps only the values
 inside them (about 0.2 % of a large group per quantile). The picked values are
-exact; a bracket that missed its rank would raise an error, not a wrong value.
+exact; a bracket that missed its rank would raise an error, not a wrong value,
+and a larger `small_group` then counts every value of the group, with spilling.
 """
 
 from __future__ import annotations
@@ -95,6 +96,6 @@ def exact_quantiles(
         below, above = F.col(f"_a{i}"), F.col(f"_b{i}")
         exact = F.when(
             below.isNotNull() & above.isNotNull(), below + (above - below) * (place - F.floor(place))
-        ).otherwise(F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
+        ).otherwise(F.raise_error(F.lit("quantile bracket missed its rank; set small_group above the row count of the group")).cast("double"))
         out.append(exact.alias(name))
     return picked.select(*keys, *out)

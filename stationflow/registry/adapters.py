@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stationflow.functions.timeparts import hour_floor
-from stationflow.schema import BOROUGHS, STATION
+from stationflow.schema import STATION
 
 NAMES = ["Hub St (S,4,5)", "Cross Av (N)/62 St (D)", "Pelham Bay Park (6)", "Loop Rd (C, A)", "Plain Plaza"]
 EVENT_BOROUGHS = ["Manhattan", "Brooklyn", "Bronx", "Queens", "Staten Island"]
 
 
+@lru_cache(maxsize=None)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its footer is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stationflow.functions.timeparts import iso_text
-from stationflow.operators.features import add_holiday_features, add_lag_features, add_time_features
 from stationflow.operators.evaluate import roc_auc
+from stationflow.operators.labels import add_congestion_label, congestion_thresholds
 from stationflow.plans import backfill, model, training
-from stationflow.registry.adapters import D, DD, H, HH, events_view, hourly_events, hourly_sql, orders_view
-from stationflow.registry.base import query, rounded
-from stationflow.registry.feature_queries import event_stations, events_hourly
-from stationflow.schema import FEATURE_COLS, LAG_FEATURES, TIME_FEATURES
-from stationflow.session import scratch_path
+from stationflow.registry.adapters import D, H, HH, events_view, hourly_events, orders_view, table
+from stationflow.registry.base import query
+from stationflow.registry.feature_queries import event_stations
+from stationflow.schema import LAG_FEATURES, TIME_FEATURES
+from stationflow.session import materialise, scratch_path
 from stationflow.sources import facts, landed, sinks
 from stationflow.streaming import ingest, rollup
 
@@ -148,7 +148,8 @@ def run_backfill(spark, sf_dir):
 def incremental_since(spark, sf_dir):
     """Three runs: the first up to a date, then the rest, then nothing new."""
     root, control = scratch_path(spark, "fact"), scratch_path(spark, "control")
-    rows = landed.clean(as_landed(orders_view(spark, sf_dir)))
+    pages = land(orders_view(spark, sf_dir), scratch_path(spark, "pages"))
+    rows = landed.clean(landed.read_landed(spark, pages, lines=True))
     early = facts.select_range(rows, end="1999-01-01")
     for feed in (early, rows, rows):
         backfill.ingest_increment(feed, root, control, start="1996-01-01")
@@ -174,7 +175,7 @@ def stream_ingest(spark, sf_dir):
 
 
 def event_stream(spark, sf_dir) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    schema = table(spark, sf_dir, "events").schema
     return events_view(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"))
 
 
@@ -208,9 +209,6 @@ MODEL_FEATURES = [*TIME_FEATURES, *LAG_FEATURES]
 
 def fitted(spark, sf_dir):
     """Train on the first weeks, test on the last."""
-    from stationflow.operators.labels import add_congestion_label, congestion_thresholds
-    from stationflow.session import materialise
-
     matrix = training.build_features(hourly_events(spark, sf_dir), "2024-01-01", "2024-02-01", event_stations(spark, sf_dir))
     matrix = materialise(matrix, "features")
     early = F.dayofmonth("transit_timestamp") <= 22

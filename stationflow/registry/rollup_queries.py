@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stationflow.operators import rollups
-from stationflow.registry.adapters import D, DD, H, HH, hourly_events, hourly_sql, orders_view
+from stationflow.registry.adapters import D, H, HH, hourly_events, hourly_sql, orders_view
 from stationflow.registry.base import query, rounded
 from stationflow.session import materialise
 from stationflow.sources.facts import distinct_months, in_years, only_stations, partition_keys

@@ -5,10 +5,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from stationflow.functions.timeparts import ntz
-from stationflow.schema import BATCH_COL, PARTITION_COLS, STATION, TS, fact_schema
+from stationflow.schema import PARTITION_COLS, STATION, TS, fact_schema
 
 
 def read_ridership(

@@ -11,8 +11,8 @@ from stationflow.schema import RIDERSHIP, STATION, TS
 def hourly_stream(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
     """Ridership per station and hour; an hour is final once `delay` has passed.
 
-    Event-time watermarks need a zoned timestamp, so wall-clock time is read as
-    UTC here and given back without zone.
+    Event-time watermarks need a zoned timestamp, so wall-clock time is read in
+    the session's zone, which should be UTC, and given back without zone.
     """
     timed = stream.withColumn("_event_time", F.col(TS).cast("timestamp")).withWatermark("_event_time", delay)
     return (
