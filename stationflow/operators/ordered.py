@@ -15,41 +15,43 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 CHUNK_ROWS = 50_000
 
 
-def number_rows(
-    df: DataFrame, keys: Sequence[str], order: str, bucket: Column | None = None,
-    name: str = "_row", total: str | None = None, ties: Sequence[str] = (),
+def running_sum(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, weight: Column,
+    name: str, total: str | None = None,
 ) -> DataFrame:
-    """Add the 1-based position of each row inside its key, ordered by `order`.
+    """Add the running sum of `weight` inside each key, this row included.
 
-    `bucket` must rise with `order`; by default it is the day of a timestamp.
-    `total` names an optional column with the key's row count. The starting
-    position of a bucket travels as one extra row into the bucket's group, so
-    the rows themselves are shuffled once, by (key, bucket).
+    `bucket` must rise with `order`. `total` names an optional column with the
+    key's sum. What lies before a bucket travels as one extra row into the
+    bucket's group, so the rows themselves are shuffled once, by (key, bucket).
     """
-    tagged = df.withColumn("_bucket", bucket if bucket is not None else F.col(order).cast("date"))
+    tagged = df.withColumns({"_bucket": bucket, "_w": weight.cast("long")})
     key_window = Window.partitionBy(*keys)
     earlier = key_window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
+    heads = (
         tagged.groupBy(*keys, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum("_w").alias("_w"))
         .select(
             *keys, "_bucket",
-            F.struct(
-                F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("start"),
-                F.sum("_n").over(key_window).alias("total"),
-            ).alias("_head"),
+            F.coalesce(F.sum("_w").over(earlier), F.lit(0)).alias("_w"),
+            F.sum("_w").over(key_window).alias("_total"),
+            F.lit(1).alias("_is_head"),
         )
     )
-    both = tagged.withColumn("_is_head", F.lit(0)).unionByName(
-        starts.withColumn("_is_head", F.lit(1)), allowMissingColumns=True
-    )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(F.desc("_is_head"), order, *ties)
-    head = F.first("_head").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    placed = both.withColumns({"_place": F.row_number().over(inside), "_head": head}).where("_is_head = 0")
-    numbered = placed.withColumn(name, F.col("_head.start") + F.col("_place") - 1)
-    if total:
-        numbered = numbered.withColumn(total, F.col("_head.total"))
-    return numbered.select(*df.columns, name, *([total] if total else []))
+    both = tagged.withColumn("_is_head", F.lit(0)).unionByName(heads, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(F.desc("_is_head"), *order)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    columns = {name: F.sum("_w").over(so_far)} | ({total: F.first("_total").over(so_far)} if total else {})
+    return both.withColumns(columns).where("_is_head = 0").select(*df.columns, *columns)
+
+
+def number_rows(
+    df: DataFrame, keys: Sequence[str], order: str, name: str = "_row", total: str | None = None,
+    ties: Sequence[str] = (),
+) -> DataFrame:
+    """Add the 1-based position of each row inside its key in time order, and
+    optionally the key's row count. Buckets are days."""
+    return running_sum(df, keys, [order, *ties], F.col(order).cast("date"), F.lit(1), name, total)
 
 
 def in_chunks(

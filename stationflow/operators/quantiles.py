@@ -3,9 +3,10 @@
 The built-in exact `percentile` keeps every distinct value of a group in one
 buffer. Here a mergeable sketch first brackets each wanted rank, then one
 aggregation counts what lies between the brackets and keeps only the values
-inside them (about 0.2 % of a large group per quantile). The picked values are
-exact; a bracket that missed its rank would raise an error, not a wrong value,
-and a larger `small_group` then counts every value of the group, with spilling.
+inside them (about 0.2 % of a large group per quantile), and their ranks come
+from running sums over slices of a bracket, so no task gets a whole group. The
+picked values are exact; a bracket that missed its rank would raise an error,
+not a wrong value, and a larger `small_group` then counts every value.
 """
 
 from __future__ import annotations
@@ -13,13 +14,47 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from stationflow.operators.ordered import running_sum
 from stationflow.session import materialise
 
 SKETCH_ACCURACY = 10_000
 MARGIN = 0.001
 SMALL_GROUP = 10_000
+SLICES = 1_000
+
+
+def _brackets(data: DataFrame, keys: list[str], inner: list[float], small_group: int) -> DataFrame:
+    """Per key: row count, extremes, and an interval around each inner quantile.
+
+    Small groups get open intervals; so do sides that reach past the extremes.
+    """
+    edges = [p - MARGIN for p in inner] + [p + MARGIN for p in inner]
+    sketch = [F.percentile_approx("_x", [min(1.0, max(0.0, e)) for e in edges], SKETCH_ACCURACY).alias("_sketch")] if inner else []
+    facts = data.groupBy(*keys).agg(F.count("_x").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"), *sketch)
+    small = F.col("_n") <= small_group
+    lowest, highest = F.lit(float("-inf")), F.lit(float("inf"))
+    columns = []
+    for i, p in enumerate(inner):
+        low = lowest if p <= MARGIN else F.when(small, lowest).otherwise(F.col("_sketch")[i])
+        high = highest if p >= 1 - MARGIN else F.when(small, highest).otherwise(F.col("_sketch")[i + len(inner)])
+        columns += [low.alias(f"_lo{i}"), high.alias(f"_hi{i}")]
+    return facts.select(*[F.col(k).alias("_k_" + k) for k in keys], "_n", "_min", "_max", *columns)
+
+
+def _slice_of(x: Column, count: int) -> tuple[Column, Column]:
+    """Whether a value lies in no bracket, and a whole number rising with the
+    value: slices of a bracket count up, what lies behind a bracket comes last."""
+    inside, behind = [], F.lit(0)
+    for i in range(count):
+        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        width = high - low
+        part = F.when((width > 0) & (width < float("inf")), F.floor((x - low) / width * (SLICES - 2))).otherwise(0)
+        inside.append(F.when(x.between(low, high), part.cast("int") + i * SLICES))
+        behind = behind + (high < x).cast("int")
+    found = F.coalesce(*inside, F.lit(None).cast("int"))
+    return found.isNull(), F.coalesce(found, behind * SLICES - 1)
 
 
 def exact_quantiles(
@@ -31,71 +66,43 @@ def exact_quantiles(
     With keys the brackets are written first: from their real size Catalyst
     decides whether they are broadcast, and the data is not shuffled by key.
     """
-    keys, probs = list(keys), [float(p) for p in probs]
+    keys = list(keys)
+    inner = sorted({float(p) for p in probs if 0 < p < 1})
     data = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-
-    low = [max(0.0, p - MARGIN) for p in probs]
-    high = [min(1.0, p + MARGIN) for p in probs]
-    bounds = data.groupBy(*keys).agg(
-        F.count("_x").alias("_n"),
-        F.percentile_approx("_x", low + high, SKETCH_ACCURACY).alias("_sketch"),
-    )
-    small = F.col("_n") <= small_group
-    # Open brackets take part in no comparison a recomputed sum could upset.
-    lowest, highest = F.lit(float("-inf")), F.lit(float("inf"))
-
-    def bracket(i: int, p: float):
-        below = lowest if p <= MARGIN else F.when(small, lowest).otherwise(F.col("_sketch")[i])
-        above = highest if p >= 1 - MARGIN else F.when(small, highest).otherwise(F.col("_sketch")[i + len(probs)])
-        return below.alias(f"_lo{i}"), above.alias(f"_hi{i}")
-
-    bounds = bounds.select(
-        *[F.col(k).alias("_k_" + k) for k in keys], "_n",
-        *[edge for i, p in enumerate(probs) for edge in bracket(i, p)],
-    )
-
-    # The bracket's edges travel with the rows, so they are read once and every
-    # count below refers to the same bracket.
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("_k_" + k)) for k in keys], F.lit(True))
+    brackets = _brackets(data, keys, inner, small_group)
     if keys:
-        joined = data.join(materialise(bounds, "brackets"), same)
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("_k_" + k)) for k in keys])
+        joined = data.join(materialise(brackets, "brackets"), same)
     else:
-        row = bounds.select(F.struct("*").alias("_b")).scalar()
+        row = brackets.select(F.struct("*").alias("_b")).scalar()
         joined = data.withColumn("_b", row).select("_x", "_b.*")
-    inside = reduce(
-        lambda a, b: a | b, [F.col("_x").between(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(len(probs))]
-    )
-    # Values in no bracket only matter as a count behind the bracket edge below them.
-    edge_below = F.array_max(
-        F.array(*[F.when(F.col(f"_hi{i}") < F.col("_x"), F.col(f"_hi{i}")) for i in range(len(probs))])
-    )
+
+    gap, place = _slice_of(F.col("_x"), len(inner))
+    facts = ["_n", "_min", "_max"]
     counted = (
-        joined.select(
-            *keys, "_n", F.when(inside, F.col("_x")).otherwise(edge_below).alias("_v"), (~inside).alias("_gap")
-        )
-        .groupBy(*keys, "_n", "_v", "_gap")
+        joined.select(*keys, *facts, F.when(~gap, F.col("_x")).alias("_v"), place.alias("_slice"))
+        .groupBy(*keys, *facts, "_slice", "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    upto = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first(), "_gap")
-    ranked = counted.withColumn("_end", F.sum("_c").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
-    ranked = ranked.withColumn("_begin", F.col("_end") - F.col("_c"))
-
-    def value_at(rank):
-        hit = (F.col("_begin") <= rank) & (rank < F.col("_end")) & ~F.col("_gap")
-        return F.max(F.when(hit, F.col("_v")))
-
-    picks = []
-    for i, p in enumerate(probs):
-        place = F.lit(p) * (F.col("_n") - 1)
-        picks += [value_at(F.floor(place)).alias(f"_a{i}"), value_at(F.ceil(place)).alias(f"_b{i}")]
-    picked = ranked.groupBy(*keys).agg(F.max("_n").alias("_n"), *picks)
-
-    out = []
-    for i, (p, name) in enumerate(zip(probs, names)):
-        place = F.lit(p) * (F.col("_n") - 1)
+    ranked = running_sum(counted, keys, ["_v"], F.col("_slice"), F.col("_c"), "_end")
+    begin, end = F.col("_end") - F.col("_c"), F.col("_end")
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((begin <= rank) & (rank < end), F.col("_v")))
+
+    ranks = {p: F.lit(p) * (F.col("_n") - 1) for p in inner}
+    picks = [value_at(F.floor(r)).alias(f"_a{i}") for i, r in enumerate(ranks.values())]
+    picks += [value_at(F.ceil(r)).alias(f"_b{i}") for i, r in enumerate(ranks.values())]
+    picked = ranked.groupBy(*keys, *facts).agg(*picks) if picks else ranked.select(*keys, *facts).distinct()
+
+    def column(p: float) -> Column:
+        if not 0 < p < 1:
+            return F.col("_min" if p <= 0 else "_max")
+        i, rank = inner.index(p), ranks[p]
         below, above = F.col(f"_a{i}"), F.col(f"_b{i}")
-        exact = F.when(
-            below.isNotNull() & above.isNotNull(), below + (above - below) * (place - F.floor(place))
-        ).otherwise(F.raise_error(F.lit("quantile bracket missed its rank; set small_group above the row count of the group")).cast("double"))
-        out.append(exact.alias(name))
-    return picked.select(*keys, *out)
+        missed = F.raise_error(F.lit("quantile bracket missed its rank; set small_group above the row count of the group"))
+        return F.when(below.isNotNull() & above.isNotNull(), below + (above - below) * (rank - F.floor(rank))).otherwise(
+            missed.cast("double")
+        )
+
+    return picked.select(*keys, *[column(float(p)).alias(name) for p, name in zip(probs, names)])

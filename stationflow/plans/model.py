@@ -13,7 +13,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stationflow.schema import FEATURE_COLS, STATION_FEATURES, TARGET_COL
 from stationflow.session import materialise, shared_dir
@@ -37,17 +37,17 @@ def class_balance(df: DataFrame, target: str = TARGET_COL) -> DataFrame:
     return df.agg(pos.alias("positives"), neg.alias("negatives"), F.try_divide(neg, pos).alias("positive_weight"))
 
 
-def prepare_features(df: DataFrame, features: Sequence[str] = tuple(FEATURE_COLS), target: str | None = TARGET_COL) -> DataFrame:
-    """Model columns (and target) with missing values filled.
-
-    Stations unknown to the feature table get -1 in its columns and
-    `has_station_features = 0`.
-    """
-    columns = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in features]
+def _filled(features: Sequence[str]) -> list[Column]:
+    """Model inputs without gaps. Stations unknown to the feature table get -1 in
+    its columns and `has_station_features = 0`."""
     known = [c for c in features if c in STATION_FEATURES]
     flag = F.col(known[0]).isNotNull().cast("double") if known else F.lit(1.0)
-    keep = [target] if target else []
-    return df.select(*keep, *columns, flag.alias(KNOWN_FLAG))
+    return [F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in features] + [flag.alias(KNOWN_FLAG)]
+
+
+def prepare_features(df: DataFrame, features: Sequence[str] = tuple(FEATURE_COLS), target: str = TARGET_COL) -> DataFrame:
+    """The target and the model's inputs."""
+    return df.select(target, *_filled(features))
 
 
 def train_model(
@@ -76,15 +76,7 @@ def train_model(
 
 def score(model: PipelineModel, df: DataFrame, features: Sequence[str] = tuple(FEATURE_COLS)) -> DataFrame:
     """Add `predicted_prob` and `predicted` (cut at 0.5)."""
-    known = [c for c in features if c in STATION_FEATURES]
-    flag = F.col(known[0]).isNotNull().cast("double") if known else F.lit(1.0)
-    given = df.columns
-    filled = df.select(
-        F.struct(*given).alias("_given"),
-        *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in features],
-        flag.alias(KNOWN_FLAG),
-    )
-    scored = model.transform(filled)
+    scored = model.transform(df.select(F.struct(*df.columns).alias("_given"), *_filled(features)))
     return scored.select(
         "_given.*",
         vector_to_array("probability")[1].alias("predicted_prob"),

@@ -78,7 +78,7 @@ RATES = ["train_rate", "test_rate", "drift"]
 
 def orders_drift(spark, sf_dir):
     train, test = evaluate.year_split(orders_table(spark, sf_dir), 1999, 2000)
-    limits = labels.congestion_thresholds(train)
+    limits = materialise(labels.congestion_thresholds(train), "thresholds")
     return evaluate.congestion_drift(*[add_congestion_label(df, thresholds=limits) for df in (train, test)])
 
 
@@ -299,6 +299,7 @@ def training_frames(spark, sf_dir):
 )
 def evaluation_set(spark, sf_dir):
     limits = labels.congestion_thresholds(orders_table(spark, sf_dir).where(F.year("transit_timestamp") == 1999))
+    limits = materialise(limits, "thresholds")
     df = training.evaluation_set(
         orders_view(spark, sf_dir), order_stations(spark, sf_dir), limits, "2000-03-01", "2001-01-01", **BRIEF
     )

@@ -177,7 +177,7 @@ def congestion_label_drop_tail(spark, sf_dir):
 def label_with_precomputed(spark, sf_dir):
     hourly = orders_table(spark, sf_dir)
     year = F.year("transit_timestamp")
-    limits = labels.congestion_thresholds(hourly.where(year == 1999))
+    limits = materialise(labels.congestion_thresholds(hourly.where(year == 1999)), "thresholds")
     return labels.add_congestion_label(hourly.where(year == 2000), thresholds=limits)
 
 
