@@ -1,7 +1,7 @@
 """Exact, linearly interpolated quantiles of groups of any size.
 
 The built-in exact `percentile` keeps every distinct value of a group in one
-buffer. Here a mergeable sketch first brackets each wanted rank, then one
+buffer. It serves where the largest group was counted to be small. Otherwise a mergeable sketch first brackets each wanted rank, then one
 aggregation counts what lies between the brackets and keeps only the values
 inside them (about 0.2 % of a large group per quantile), and their ranks come
 from running sums over slices of a bracket, so no task gets a whole group. The
@@ -21,7 +21,7 @@ from stationflow.session import materialise
 
 SKETCH_ACCURACY = 10_000
 MARGIN = 0.001
-SMALL_GROUP = 10_000
+SMALL_GROUP = 100_000
 SLICES = 1_000
 
 
@@ -63,19 +63,23 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per key with a column per quantile; NULL values are left out.
 
-    With keys the brackets are written first: from their real size Catalyst
-    decides whether they are broadcast, and the data is not shuffled by key.
+    Counts and brackets are written first, one row per key: they tell whether
+    all groups are small, and from their real size Catalyst decides whether they
+    are broadcast, so that the data is not shuffled by key.
     """
     keys = list(keys)
     inner = sorted({float(p) for p in probs if 0 < p < 1})
     data = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    brackets = _brackets(data, keys, inner, small_group)
+    brackets = materialise(_brackets(data, keys, inner, small_group), "brackets")
+    largest = brackets.agg(F.max("_n")).first()[0] or 0
+    if largest <= small_group:
+        buffered = data.groupBy(*keys).agg(F.percentile("_x", [float(p) for p in probs]).alias("_q"))
+        return buffered.select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(names)])
     if keys:
         same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("_k_" + k)) for k in keys])
-        joined = data.join(materialise(brackets, "brackets"), same)
+        joined = data.join(brackets, same)
     else:
-        row = brackets.select(F.struct("*").alias("_b")).scalar()
-        joined = data.withColumn("_b", row).select("_x", "_b.*")
+        joined = data.withColumn("_b", brackets.select(F.struct("*").alias("_b")).scalar()).select("_x", "_b.*")
 
     gap, place = _slice_of(F.col("_x"), len(inner))
     facts = ["_n", "_min", "_max"]
