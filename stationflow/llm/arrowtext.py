@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
+import stationflow
+
 BATCH_BYTES = 16 << 20
 CHUNK_BYTES = 2 << 20
 _K = 0x9E3779B97F4A7C15
@@ -17,8 +22,22 @@ _U = np.uint64
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound the bytes of a batch sent to Python, so that long texts need no more memory than short ones."""
+    """Make Python tasks ready: bounded batches, and this package on every executor.
+
+    The bytes of a batch are bounded, so that long texts need no more memory than short
+    ones. The package goes out once per application, also where it is installed.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    context = spark.sparkContext
+    if getattr(context, "_stationflow_shipped", False):
+        return
+    home = Path(stationflow.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="stationflow-"), "stationflow.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(home.rglob("*.py")):
+            z.write(f, f.relative_to(home.parent))
+    context.addPyFile(str(archive))  # served by the driver
+    context._stationflow_shipped = True
 
 
 def with_columns(df: DataFrame, fields: list[StructField], add: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:

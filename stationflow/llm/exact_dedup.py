@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from stationflow.llm.arrowtext import bounded_batches
 from stationflow.session import materialise
 
 COUNTERS = 1000
@@ -46,6 +47,7 @@ def frequent(keys: DataFrame, counters: int = COUNTERS) -> DataFrame:
     A key with more than 1 / (`counters` + 1) of the rows is always among them;
     weights are lower bounds.
     """
+    bounded_batches(keys.sparkSession)
     schema, step = "key long, weight long", partial(_summary, counters=counters)
     first = keys.select("key", F.lit(1).cast("long").alias("weight")).mapInArrow(step, schema)
     # Each summary goes whole to one of MERGERS tasks, and theirs to the last one: bounded rows at either step.

@@ -4,9 +4,9 @@ Documents are rows and n-grams columns of a sparse 0/1 matrix; a link is an entr
 of matrix times transpose that is large enough for the two row sizes. The
 product is never formed whole:
 
-1. Columns are dealt by hash into blocks, more of them than two linked rows of
-   these sizes can differ in places, so linked rows agree in one block at least.
-   Rows whose blocks agree nowhere are discarded before any product.
+1. Columns are dealt by hash into blocks, a few more of them than two linked rows
+   of these sizes can differ in places, so linked rows agree in some blocks whole.
+   Rows that agree with others in fewer blocks than that are discarded before any product.
 2. Rows that agree somewhere form groups. In groups of more than BLOCK_ROWS rows,
    counts of the columns inside the group discard further: linked rows share one
    of their rarest columns, as many as the size bound lets differ.
@@ -39,6 +39,7 @@ from stationflow.session import materialise
 BLOCK_ROWS = 256
 BLOCK_COLUMNS = 4096
 SEEDS = 4
+NEED = 1 << 20
 _U = np.uint64
 
 
@@ -87,14 +88,16 @@ class Bounds:
         return 2 * top * (100 - self.percent) // (100 + self.percent)
 
 
-def _signatures(tokens: np.ndarray, counts: np.ndarray, names: np.ndarray, bounds: Bounds) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(block signature, set) of every set: sets that link have a signature in common.
+def _signatures(tokens: np.ndarray, counts: np.ndarray, names: np.ndarray, bounds: Bounds) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(block signature, set, dealing) of every set: sets that link have a signature in common.
 
     A set is signed for its own size class and, when a larger partner can lie in
     the next class, for that one. Empty blocks do not count: there are a few more
     blocks than needed, and a set with more empty blocks than that is signed
     again with another dealing of columns (two sets that agree in empty blocks only
     are both in that case). After the last dealing empty blocks are signed as well.
+    A dealing is NEED times (size class and seed) plus the number of signatures that a
+    set shares at least with whatever it links to.
     """
     if not len(counts):
         return
@@ -123,9 +126,12 @@ def _signatures(tokens: np.ndarray, counts: np.ndarray, names: np.ndarray, bound
             row = np.repeat(np.arange(len(which)), blocks)
             number = np.arange(len(size)) - base[row]
             sign = mix(sums + mix((number * 4096 + kind[row]).astype(_U) * _U(SEEDS) + _U(seed)))
-            few = np.bincount(row[size == 0], minlength=len(which)) > spare
-            out = (size > 0) | (few[row] if seed == SEEDS - 1 else False)
-            yield sign[out].view(np.int64), names[which][row[out]]
+            empty = np.bincount(row[size == 0], minlength=len(which))
+            few = empty > spare
+            last = seed == SEEDS - 1
+            out = (size > 0) | (few[row] if last else False)
+            need = np.where(few & last, 1 + spare, np.maximum(1 + spare - empty, 1))
+            yield sign[out].view(np.int64), names[which][row[out]], ((kind * SEEDS + seed) * NEED + np.minimum(need, NEED - 1))[row[out]]
             which = which[few]
 
 
@@ -138,34 +144,52 @@ def _sign(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterat
                 keep = np.zeros(len(names), bool)
                 keep[first] = True
                 tokens, counts, names = tokens[np.repeat(keep, counts)], counts[keep], names[keep]
-            for sign, sets in _signatures(tokens, counts, names, bounds):
-                yield pa.RecordBatch.from_arrays([pa.array(sign), pa.array(sets)], names=["sign", "sid"])
+            for columns in _signatures(tokens, counts, names, bounds):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["sign", "sid", "dealing"])
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges from every set of a signature to the signature's first set; rows come ordered by signature and set."""
-    sign, centre = None, 0
+def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of signatures that more than one set has, once each, with the signature's first set; rows come ordered by signature and set."""
+    names = ["sign", "sid", "dealing", "head"]
+    sign = sid = None
+    head, told = (0, 0), False  # the first set of the signature at hand and whether it was told
     for batch in batches:
-        s, v = (batch.column(k).to_numpy() for k in (0, 1))
+        s, v, d = (batch.column(k).to_numpy() for k in (0, 1, 2))
         if not len(s):
             continue
         new = np.ones(len(s), bool)
         new[1:] = s[1:] != s[:-1]
-        start = np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))
-        head = v[start]
-        if s[0] == sign:
-            head[start == 0] = centre
-        sign, centre = s[-1], head[-1]
-        far = head != v
-        if far.any():
-            pairs = np.unique(np.stack([v[far], head[far]], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-
-def _shared(signs: DataFrame) -> DataFrame:
-    """(node, component): sets (sid) that are joined through equal signatures (sign)."""
-    dealt = signs.repartition("sign").sortWithinPartitions("sign", "sid")
-    return connected_components(dealt.mapInArrow(_stars, "a long, b long"))
+        new[0] = sign is None or s[0] != sign
+        again = np.zeros(len(s), bool)
+        again[1:] = ~new[1:] & (v[1:] == v[:-1])
+        again[0] = not new[0] and v[0] == sid
+        start = np.maximum.accumulate(np.where(new, np.arange(len(s)), -1))
+        first, kind = np.where(start < 0, head[0], v[start]), np.where(start < 0, head[1], d[start])
+        far = (first != v) & ~again
+        begin = far.copy()  # the first differing row of a signature tells the head as well
+        at = np.flatnonzero(far)
+        begin[at[1:]] = start[at[1:]] != start[at[:-1]]
+        if len(at) and start[at[0]] < 0 and told:
+            begin[at[0]] = False
+        if len(at):
+            rows = [np.concatenate([s[far], s[begin]]), np.concatenate([v[far], first[begin]]), np.concatenate([d[far], kind[begin]]), np.concatenate([first[far], first[begin]])]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=names)
+        told = bool(far[start == start[-1]].any()) or (start[-1] < 0 and told)
+        sign, sid, head = s[-1], v[-1], (first[-1], kind[-1])
+
+
+def _shared(signs: DataFrame, rounds: int = 2) -> DataFrame:
+    """(node, component): sets (sid) that are joined through equal signatures (sign).
+
+    In each round, sets that share fewer signatures with any others than a link needs are
+    left out. A dealing of NEED or less asks for that many signatures.
+    """
+    dealt = lambda rows: rows.select("sign", "sid", "dealing").repartition("sign").sortWithinPartitions("sign", "sid").mapInArrow(_several, "sign long, sid long, dealing long, head long")
+    rows = materialise(dealt(signs), "shared")
+    for _ in range(rounds):
+        enough = rows.groupBy("sid", "dealing").agg(F.count("*").alias("n")).filter(F.col("n") >= F.col("dealing") % NEED).drop("n")
+        rows = materialise(dealt(rows.join(enough, ["sid", "dealing"])), "shared")
+    return connected_components(rows.select(F.col("sid").alias("a"), F.col("head").alias("b")))
 
 
 def _members(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -186,7 +210,7 @@ def _rarest(rows: DataFrame, percent: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("sid").orderBy("df", "gram"))
     near = grams.join(common, ["g", "gram"]).withColumn("rank", rank)
     near = near.filter((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1) & (F.col("df") > 1))
-    groups = _shared(near.select(F.xxhash64("g", "gram").alias("sign"), "sid"))
+    groups = _shared(near.select(F.xxhash64("g", "gram").alias("sign"), "sid", F.lit(1).cast("long").alias("dealing")), rounds=0)
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
     named = groups.join(sizes, "component").select(F.col("node").alias("sid"), F.col("component").alias("g"), "size")
     return rows.select("sid", "n", "grams").join(named, "sid").select("sid", "g", "size", "n", "grams")
@@ -302,7 +326,7 @@ def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, block_rows:
     bounded_batches(spark)
     docs = docs.select("doc_id", "text")
     sets = materialise(docs.mapInArrow(partial(_summaries, width=words), "doc_id long, n_shingles long, sid long"), "sets")
-    groups = _shared(docs.select("text").mapInArrow(partial(_sign, width=words, percent=percent), "sign long, sid long"))
+    groups = _shared(docs.select("text").mapInArrow(partial(_sign, width=words, percent=percent), "sign long, sid long, dealing long"))
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
     stands = sets.filter("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     wanted = groups.join(sizes, "component").select(F.col("node").alias("sid"), F.col("component").alias("g"), "size").join(stands, "sid")
