@@ -1,23 +1,22 @@
 """Chat formatting of preference pairs: one prompt from the common turns, two masked completions.
 
-Chosen and rejected conversations are compared turn by turn in a join, so the
-first difference of a pair is a partial minimum and needs no gathered conversation.
+A conversation is one training record, so its turns are gathered into one row, once for
+each side; prefix, prompt, completions and masks then come from arrays within the row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 OPEN, CLOSE = "<|{}|>\n", "<|end|>\n"
 TRAINED = "assistant"
 
 
-def _numbered(turns: DataFrame) -> DataFrame:
-    """(pair_id, k, role, text, n): turns numbered from 0 in the order of turn, role and text; nulls first, null texts empty."""
-    w = Window.partitionBy("pair_id")
-    order = w.orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    cleaned = turns.select("pair_id", "turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return cleaned.select("pair_id", (F.row_number().over(order) - 1).alias("k"), "role", "text")
+def _gathered(turns: DataFrame, name: str) -> DataFrame:
+    """Per pair the turns (role, text) in the order of turn, role and text; null turns first, null roles `unknown`, null texts empty."""
+    turn = F.struct("turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = turns.filter("pair_id is not null").groupBy("pair_id").agg(F.array_sort(F.collect_list(turn)).alias("x"))
+    return rows.select("pair_id", F.transform("x", lambda t: F.struct(t.role.alias("role"), t.text.alias("text"))).alias(name))
 
 
 def render(role: Column, text: Column) -> Column:
@@ -25,21 +24,17 @@ def render(role: Column, text: Column) -> Column:
     return F.concat(F.lit("<|"), role, F.lit("|>\n"), text, F.lit(CLOSE))
 
 
-def _joined(turns: DataFrame, name: str) -> DataFrame:
-    """Per pair the rendered turns in order, and the trained spans in code points.
+def _told(turns: Column) -> Column:
+    """Turns rendered one after the other."""
+    return F.array_join(F.transform(turns, lambda t: render(t.role, t.text)), "")
 
-    A span is an assistant turn's content with its end marker; role lines and the
-    turns of others are masked out.
-    """
-    told = turns.withColumn("said", render(F.col("role"), F.col("text")))
-    rows = told.groupBy("pair_id").agg(F.array_sort(F.collect_list(F.struct("k", "role", "said"))).alias("x"))
-    size = F.transform("x", lambda t: F.length(t.said))
-    # Running lengths: each turn's start from a fold over the turns before it.
+
+def _spans(turns: Column) -> Column:
+    """What the loss sees of rendered turns, as (start, end) in code points: assistant content with its end marker."""
+    size = F.transform(turns, lambda t: F.length(render(t.role, t.text)))
     start = F.aggregate(size, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
-    head = lambda t: F.length(t.role) + len(OPEN.format(""))
-    spans = F.transform(F.arrays_zip("x", F.slice(start, 1, F.size("x")).alias("at")), lambda z: F.struct(z.x.role.alias("role"), (z["at"] + head(z.x)).alias("start"), (z["at"] + F.length(z.x.said)).alias("end")))
-    kept = F.transform(F.filter(spans, lambda s: s.role == TRAINED), lambda s: F.struct(s.start, s.end))
-    return rows.select("pair_id", F.array_join(F.transform("x", lambda t: t.said), "").alias(name), kept.alias(f"{name}_spans"))
+    placed = F.zip_with(turns, start, lambda t, at: F.struct(t.role.alias("role"), (at + F.length(t.role) + len(OPEN.format(""))).alias("start"), (at + F.length(render(t.role, t.text))).alias("end")))
+    return F.transform(F.filter(placed, lambda s: s.role == TRAINED), lambda s: F.struct(s.start.alias("start"), s.end.alias("end")))
 
 
 def format_preferences(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
@@ -54,17 +49,12 @@ def format_preferences(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     left out. Null turns come first, null roles are `unknown`, null texts empty;
     turns with equal numbers are ordered by role and text; other columns are ignored.
     """
-    a, b = (_numbered(x.filter("pair_id is not null")) for x in (chosen, rejected))
-    paired = a.select("pair_id").distinct().join(b.select("pair_id").distinct(), "pair_id")
-    other = b.select("pair_id", "k", F.col("role").alias("role_b"), F.col("text").alias("text_b"))
-    both = a.join(other, ["pair_id", "k"], "full").join(paired, "pair_id", "left_semi")
-    same = F.coalesce((F.col("role") == F.col("role_b")) & (F.col("text") == F.col("text_b")), F.lit(False))
-    length = both.groupBy("pair_id").agg(F.coalesce(F.min(F.when(~same, F.col("k"))), F.count("*")).cast("int").alias("n_prompt_turns"))
-    side = lambda turns: turns.join(length, "pair_id")
-    prompt = _joined(side(a).filter("k < n_prompt_turns"), "prompt").drop("prompt_spans")
-    kept = _joined(side(a).filter("k >= n_prompt_turns"), "chosen")
-    lost = _joined(side(b).filter("k >= n_prompt_turns"), "rejected")
-    out = length.join(prompt, "pair_id", "left").join(kept, "pair_id", "left").join(lost, "pair_id", "left")
-    text = lambda c: F.coalesce(c, F.lit("")).alias(c)
-    none = lambda c: F.coalesce(c, F.array().cast("array<struct<start:int,end:int>>")).alias(c)
-    return out.select("pair_id", "n_prompt_turns", text("prompt"), text("chosen"), none("chosen_spans"), text("rejected"), none("rejected_spans"))
+    both = _gathered(chosen, "a").join(_gathered(rejected, "b"), "pair_id")
+    differs = F.zip_with("a", "b", lambda x, y: ~x.eqNullSafe(y))
+    length = F.when(F.array_contains(differs, True), F.array_position(differs, True) - 1).otherwise(F.size("a")).cast("int")
+    cut = both.withColumn("n_prompt_turns", length)
+    n = F.col("n_prompt_turns")
+    tail = lambda side: F.slice(side, n + 1, F.greatest(F.size(side) - n, F.lit(0)))
+    parts = cut.select("pair_id", "n_prompt_turns", F.slice("a", F.lit(1), n).alias("p"), tail("a").alias("c"), tail("b").alias("r"))
+    c, r = F.col("c"), F.col("r")
+    return parts.select("pair_id", "n_prompt_turns", _told(F.col("p")).alias("prompt"), _told(c).alias("chosen"), _spans(c).alias("chosen_spans"), _told(r).alias("rejected"), _spans(r).alias("rejected_spans"))
