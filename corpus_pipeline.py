@@ -23,9 +23,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies (five words, 0.8), the one with the smallest doc_id; a document in no class stays."""
-    classes = ngram_join.link_classes(docs, words=5, percent=80)
-    gone = materialise(classes.filter("component_id < doc_id").select(F.col("doc_id").alias("_id")).distinct(), "copies")
-    return docs.join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left_anti")
+    return ngram_join.drop_near_copies(docs, words=5, percent=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stationflow.llm.arrowtext import bounded_batches, buffers, chunks, mix, shingle_sets, strings
 from stationflow.llm.components import connected_components
@@ -64,7 +64,8 @@ def _sets(texts: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray, n
 def _summaries(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, _, counts, names in _sets(strings(batch.column(1)), width):
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(counts, pa.int64()), pa.array(names)], names=["doc_id", "n_shingles", "sid"])
+            kept = [c.slice(lo, hi - lo) for k, c in enumerate(batch.columns) if k != 1]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(counts, pa.int64()), pa.array(names)], names=[*[x for k, x in enumerate(batch.schema.names) if k != 1], "n_shingles", "sid"])
 
 
 class Bounds:
@@ -312,9 +313,12 @@ def _multiply(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, block_rows: int = BLOCK_ROWS, keys: dict[str, Column] | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of `docs` (doc_id, text).
 
+    With `keys` (names and columns to carry) these and `class_id`, an arbitrary number
+    of the class, follow; it is null for rows without a shingle.
+
     Two texts link when 100 * overlap >= `percent` * union of their sets of
     `words`-word shingles; component_id is the smallest doc_id reachable by
     links. Null and empty texts, and texts without words, have no shingle and
@@ -324,8 +328,11 @@ def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, block_rows:
     """
     spark = docs.sparkSession
     bounded_batches(spark)
+    keys = keys or {}
+    told = docs.select("doc_id", "text", *[c.alias(k) for k, c in keys.items()])
     docs = docs.select("doc_id", "text")
-    sets = materialise(docs.mapInArrow(partial(_summaries, width=words), "doc_id long, n_shingles long, sid long"), "sets")
+    carried = "".join(f"{k} {told.schema[k].dataType.simpleString()}, " for k in keys)
+    sets = materialise(told.mapInArrow(partial(_summaries, width=words), f"doc_id long, {carried}n_shingles long, sid long"), "sets")
     groups = _shared(docs.select("text").mapInArrow(partial(_sign, width=words, percent=percent), "sign long, sid long, dealing long"))
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
     stands = sets.filter("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
@@ -344,7 +351,24 @@ def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, block_rows:
     dealt = jobs.select("job", "side", "sid", "grams").repartition("job").sortWithinPartitions("job")
     classes = connected_components(links.union(dealt.mapInArrow(partial(_multiply, percent=percent), "a long, b long")))
     named = sets.join(classes.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    named = materialise(named.select("doc_id", "n_shingles", "component"), "named")
+    named = materialise(named.select("doc_id", "n_shingles", *keys, "component"), "named")
     smallest = named.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     joined = named.join(smallest, "component", "left")
-    return joined.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    some = F.col("n_shingles") > 0
+    out = joined.select("doc_id", "n_shingles", F.when(some, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *keys, F.when(some, F.col("component")).alias("class_id"))
+    return out if keys else out.drop("class_id")
+
+
+def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """`docs` with one document of every class: the one with the smallest doc_id (rows without one come last).
+
+    Rows that share doc_id and text stay or go together; a document in no class stays.
+    """
+    rows = link_classes(docs, words, percent, keys={"_digest": F.xxhash64("text")}).filter("class_id is not null")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "_digest")
+    first = rows.groupBy("class_id").agg(F.min(place).alias("first"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.min("_digest").alias("x"), F.max("_digest").alias("y"))
+    several = first.filter("not (a <=> b) or x <> y or a is null").select("class_id", "first")  # classes of one document need no look at their rows
+    gone = rows.join(several, "class_id").filter(place != F.col("first")).select(F.col("doc_id").alias("_id"), "_digest").distinct()
+    gone = materialise(gone, "copies")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_digest"))
+    return docs.join(gone.hint("shuffle_hash"), same, "left_anti")
