@@ -78,10 +78,10 @@ class Bounds:
         return (100 + self.percent) * overlap >= self.percent * (a + b)
 
     def classes(self, largest: int) -> np.ndarray:
-        """Lower ends of size classes."""
+        """Lower ends of size classes: a set links within its own, the next and the last one only."""
         ends = [1]
         while ends[-1] <= largest * 2:
-            ends.append(max(ends[-1] + 1, ends[-1] * 7 // 5))
+            ends.append(max(-(-ends[-1] * 13 // 10), -(-ends[-1] * 100 // self.percent), ends[-1] + 1))
         return np.array(ends)
 
     def differ(self, top: np.ndarray) -> np.ndarray:
@@ -113,7 +113,7 @@ def _signatures(tokens: np.ndarray, counts: np.ndarray, names: np.ndarray, bound
             which, kind, most = which[most > 0], kind[most > 0], most[most > 0]
             if not len(which):
                 break
-            spare = np.where(most >= 3, 1 + -(-most // 25), 0)
+            spare = np.where(most >= 3, 1 + most * 3 // 20, 0)
             blocks = most + 1 + spare
             n = counts[which]
             base = np.cumsum(blocks) - blocks
