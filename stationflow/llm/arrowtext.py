@@ -15,8 +15,8 @@ from pyspark.sql.types import StructField, StructType
 
 import stationflow
 
-BATCH_BYTES = 16 << 20
-CHUNK_BYTES = 2 << 20
+BATCH_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
 _K = 0x9E3779B97F4A7C15
 _U = np.uint64
 
@@ -49,6 +49,7 @@ def with_columns(df: DataFrame, fields: list[StructField], add: Callable[[pa.Rec
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, *add(batch)], names=[*batch.schema.names, *[f.name for f in fields]])
+            pa.default_memory_pool().release_unused()
 
     return kept.mapInArrow(grow, StructType([*kept.schema.fields, *fields]))
 

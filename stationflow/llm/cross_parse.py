@@ -81,7 +81,7 @@ class Automaton:
         return count + 1
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _automata(models: tuple[tuple[str, bytes], ...]) -> list[Automaton]:
     return [Automaton(text) for _, text in models]
 

@@ -28,7 +28,8 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, S
 from stationflow.llm.arrowtext import distinct_units, strings, with_columns
 
 MARK = "▁"
-MEMO = 1 << 20
+MEMO = 1 << 18
+SLICE = 1 << 18  # words whose ids are put together at once
 _BREAKS = np.isin(np.arange(256), [10])
 
 
@@ -64,7 +65,7 @@ def merge(text: str, rank: dict[str, tuple[float, int]]) -> list[str]:
         parts = out
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def load(path: str) -> Model:
     """The tables of a SentencePiece BPE model file without text normalisation and with a dummy leading space."""
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -172,7 +173,7 @@ class Forward:
         return np.array(out, np.int32), np.array(counts, np.int64)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _forward(path: str) -> Forward:
     return Forward(load(path))
 
@@ -191,14 +192,17 @@ def encode_texts(texts: pa.Array, path: str) -> pa.Array:
     flat, sizes = _forward(path).encode([words[k] for k in order])
     place = np.empty(len(words), np.int64)
     place[order] = np.arange(len(words))
+    del words, units
     starts = np.cumsum(sizes) - sizes
-    where = place[index]
-    n = sizes[where]
-    total = np.cumsum(n)
-    ids = flat[np.repeat(starts[where] - (total - n), n) + np.arange(total[-1] if len(total) else 0)]
-    bounds = np.concatenate([[0], np.cumsum(counts)])
-    sums = np.concatenate([[0], total])
-    return _lists(ids, sums[bounds[1:]] - sums[bounds[:-1]])
+    ids = np.empty(int(sizes[place[index]].sum()), np.int32)
+    per_word = np.concatenate([[0], np.cumsum(sizes[place[index]])])
+    for lo in range(0, len(index), SLICE):
+        where = place[index[lo : lo + SLICE]]
+        n = sizes[where]
+        total = np.cumsum(n)
+        ids[per_word[lo] : per_word[lo] + total[-1]] = flat[np.repeat(starts[where] - (total - n), n) + np.arange(total[-1])]
+    bounds = per_word[np.concatenate([[0], np.cumsum(counts)])]
+    return _lists(ids, np.diff(bounds))
 
 
 def decode_ids(ids: pa.Array, path: str) -> pa.Array:
