@@ -7,10 +7,10 @@ product is never formed whole:
 1. Columns are dealt by hash into blocks, a few more of them than two linked rows
    of these sizes can differ in places, so linked rows agree in some blocks whole.
    Rows that agree with others in fewer blocks than that are discarded before any product.
-2. Rows that agree somewhere form groups. In groups of more than BLOCK_ROWS rows,
+2. Rows that agree somewhere form groups. In groups of more than REGROUP_ROWS rows,
    counts of the columns inside the group discard further: linked rows share one
    of their rarest columns, as many as the size bound lets differ.
-3. Large groups are cut into rings by distance from one row. Jaccard distance is a
+3. Groups of more than BLOCK_ROWS rows are cut into rings by distance from one row. Jaccard distance is a
    metric, so linked rows lie in one or neighbouring rings; the innermost ring is
    linked through its centre and needs no product at all.
 4. The rest is multiplied in blocks of at most BLOCK_ROWS rows, columns in blocks
@@ -37,6 +37,7 @@ from stationflow.llm.components import connected_components
 from stationflow.session import materialise
 
 BLOCK_ROWS = 256
+REGROUP_ROWS = 8
 BLOCK_COLUMNS = 4096
 SEEDS = 4
 NEED = 1 << 20
@@ -341,7 +342,7 @@ def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, block_rows:
     found = docs.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "sid", "g", "size")
     rows = found.mapInArrow(partial(_members, width=words), "sid long, g long, size long, n long, grams array<long>")
     rows = materialise(rows, "rows")
-    small, large = rows.filter(F.col("size") <= block_rows), rows.filter(F.col("size") > block_rows)
+    small, large = rows.filter(F.col("size") <= REGROUP_ROWS), rows.filter(F.col("size") > REGROUP_ROWS)
     alone = lambda df: df.select(F.col("g").alias("job"), F.lit(0).alias("side"), "sid", "n", "grams")
     jobs, links = alone(small), spark.createDataFrame([], "a long, b long")
     if large.limit(1).count():
