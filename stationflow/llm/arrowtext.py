@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -40,16 +41,30 @@ def bounded_batches(spark: SparkSession) -> None:
     context._stationflow_shipped = True
 
 
-def with_columns(df: DataFrame, fields: list[StructField], add: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
-    """`df` with the columns that `add` makes of each batch; columns of the same names give way."""
+def give_back() -> None:
+    """Return freed memory to the system, which a reused Python worker would hold otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def with_columns(df: DataFrame, fields: list[StructField], add: Callable[[pa.RecordBatch], list[pa.Array]], text: str | None = None, limit: int = BATCH_BYTES) -> DataFrame:
+    """`df` with the columns that `add` makes of each batch; columns of the same names give way.
+
+    With `text`, batches are cut so that this column has about `limit` bytes in each; a longer text goes alone.
+    """
     bounded_batches(df.sparkSession)
     names = {f.name.lower() for f in fields}
     kept = df.select(*[f"`{c}`" for c in df.columns if c.lower() not in names])
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, *add(batch)], names=[*batch.schema.names, *[f.name for f in fields]])
-            pa.default_memory_pool().release_unused()
+        for whole in batches:
+            cuts = [(0, whole.num_rows)] if text is None else chunks(buffers(whole.column(whole.schema.get_field_index(text)))[0], limit)
+            for lo, hi in cuts:
+                batch = whole.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*batch.columns, *add(batch)], names=[*batch.schema.names, *[f.name for f in fields]])
+                give_back()
 
     return kept.mapInArrow(grow, StructType([*kept.schema.fields, *fields]))
 

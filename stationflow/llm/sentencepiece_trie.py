@@ -30,6 +30,7 @@ from stationflow.llm.arrowtext import distinct_units, strings, with_columns
 MARK = "▁"
 MEMO = 1 << 18
 SLICE = 1 << 18  # words whose ids are put together at once
+CUT_BYTES = 4 << 20  # text that is encoded at once
 _BREAKS = np.isin(np.arange(256), [10])
 
 
@@ -194,10 +195,11 @@ def encode_texts(texts: pa.Array, path: str) -> pa.Array:
     place[order] = np.arange(len(words))
     del words, units
     starts = np.cumsum(sizes) - sizes
-    ids = np.empty(int(sizes[place[index]].sum()), np.int32)
-    per_word = np.concatenate([[0], np.cumsum(sizes[place[index]])])
+    index = place[index]
+    per_word = np.concatenate([[0], np.cumsum(sizes[index])])
+    ids = np.empty(int(per_word[-1]), np.int32)
     for lo in range(0, len(index), SLICE):
-        where = place[index[lo : lo + SLICE]]
+        where = index[lo : lo + SLICE]
         n = sizes[where]
         total = np.cumsum(n)
         ids[per_word[lo] : per_word[lo] + total[-1]] = flat[np.repeat(starts[where] - (total - n), n) + np.arange(total[-1])]
@@ -244,7 +246,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", co
         return [*out, pc.equal(decode_ids(lists, model), values)] if check else out
 
     fields = [StructField(ids, ArrayType(IntegerType(), False)), StructField(count, IntegerType())]
-    return with_columns(docs, fields + ([StructField(check, BooleanType())] if check else []), add)
+    return with_columns(docs, fields + ([StructField(check, BooleanType())] if check else []), add, text, CUT_BYTES)
 
 
 def decode(rows: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
