@@ -175,7 +175,8 @@ def roc_points(
     """ROC curve: rates at each distinct score from the highest down.
 
     The curve opens at (0, 0) with an infinite threshold. `drop_intermediate`
-    leaves out points on a straight line between their neighbours.
+    leaves out points on a straight line between their neighbours; the first
+    and the last score always stay.
     """
     counts = _score_counts(df, [], score, actual)
     bins = counts.groupBy("_bin").agg(
@@ -212,7 +213,8 @@ def roc_points(
     tp, fp = F.col("_in_pos") + F.col("_pos_above"), F.col("_in_neg") + F.col("_neg_above")
     if drop_intermediate:
         bend = (F.col("_next._pos") != F.col("_pos")) | (F.col("_next._neg") != F.col("_neg"))
-        points = points.where(F.col("_next").isNull() | bend)
+        first = F.col("_top") & (F.col("_place") == 1)
+        points = points.where(first | F.col("_next").isNull() | bend)
     curve = points.select(
         F.col("_s").alias("threshold"),
         F.try_divide(fp, F.col("_all_neg")).alias("fpr"),

@@ -189,12 +189,12 @@ def mean_monthly_auc(spark, sf_dir):
 
 CURVE = """g AS (SELECT predicted_prob AS p, SUM(actual) AS pos, COUNT(*) - SUM(actual) AS neg FROM s GROUP BY 1),
   c AS (SELECT p, pos, neg, SUM(pos) OVER w AS tp, SUM(neg) OVER w AS fp, SUM(pos) OVER () AS ap, SUM(neg) OVER () AS an,
-    lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg FROM g WINDOW w AS (ORDER BY p DESC)),
+    lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg, row_number() OVER w AS place FROM g WINDOW w AS (ORDER BY p DESC)),
   k AS (SELECT p AS threshold, fp / an AS fpr, tp / ap AS tpr FROM c {where}
     UNION ALL SELECT CAST('inf' AS DOUBLE), 0, 0) SELECT round(threshold, 6) AS threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM k"""
 
 
-@query("roc_points", f"WITH {S}, {CURVE.format(where='WHERE next_pos IS NULL OR next_pos <> pos OR next_neg <> neg')}")
+@query("roc_points", f"WITH {S}, {CURVE.format(where='WHERE place = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg')}")
 def roc_points(spark, sf_dir):
     return rounded(evaluate.roc_points(scored_events(spark, sf_dir)), ["threshold", "fpr", "tpr"])
 

@@ -47,11 +47,13 @@ def clean_cast(spark, sf_dir):
     return landed.clean(landed.read_landed(spark, pages, lines=True))
 
 
-@query("clean_marked", f"WITH {H} SELECT COUNT(*) AS rows, COUNT(*) FILTER (ridership < 10) AS bad FROM h")
+@query("clean_marked", f"WITH {H} SELECT COUNT(*) AS rows, COUNT(*) FILTER (ridership < 10 OR hour(transit_timestamp) < 4) AS bad FROM h")
 def clean_marked(spark, sf_dir):
     text = as_landed(hourly_events(spark, sf_dir))
     spoilt = text.withColumn("ridership", F.when(F.col("ridership").cast("double") < 10, "n/a").otherwise(F.col("ridership")))
-    marked = landed.clean(spoilt, on_error="mark")
+    ts, hour = F.col("transit_timestamp"), F.substring("transit_timestamp", 12, 2)
+    other = F.when(hour == "00", F.substring(ts, 1, 10)).when(hour == "01", F.concat(ts, F.lit("Z"))).when(hour == "02", F.concat(F.lit(" "), ts)).when(hour == "03", F.substring(ts, 1, 7))
+    marked = landed.clean(spoilt.withColumn("transit_timestamp", F.coalesce(other, ts)), on_error="mark")
     return marked.agg(F.count("*").alias("rows"), F.count_if("is_bad").alias("bad"))
 
 

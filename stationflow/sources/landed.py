@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from stationflow.schema import NUMERIC_TEXT, TS, landed_schema
 from stationflow.sources.facts import select_range
 
+ISO_TEXT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?$"
+
 
 def read_landed(spark: SparkSession, path: str | list[str], extra: list[str] | None = None, lines: bool = False) -> DataFrame:
     """Landed pages as text columns. A page is one JSON array of records, or
@@ -22,6 +24,7 @@ def read_landed(spark: SparkSession, path: str | list[str], extra: list[str] | N
 def clean(df: DataFrame, on_error: str = "fail") -> DataFrame:
     """Text to types: ISO timestamp with optional fraction, numbers to double.
 
+    A timestamp without a time of day, with a zone or with spaces around it is bad.
     A bad value fails the job. With `on_error="mark"` it becomes NULL and the
     row is flagged in `is_bad`, so that bad rows can be set aside.
     """
@@ -29,16 +32,20 @@ def clean(df: DataFrame, on_error: str = "fail") -> DataFrame:
         raise ValueError("on_error is 'fail' or 'mark'")
     types = {TS: "timestamp_ntz", **{c: "double" for c in NUMERIC_TEXT if c in df.columns}}
 
-    def strict(name: str, to: str) -> Column:
+    def lenient(name: str, to: str) -> Column:
         soft = F.col(name).try_cast(to)
+        return F.when(F.col(name).rlike(ISO_TEXT), soft) if name == TS else soft
+
+    def strict(name: str, to: str) -> Column:
+        soft = lenient(name, to)
         wrong = F.col(name).isNotNull() & soft.isNull()
         message = F.concat(F.lit(f"bad {name}: "), F.col(name))
         return F.when(wrong, F.raise_error(message).cast(to)).otherwise(soft)
 
-    convert = strict if on_error == "fail" else lambda name, to: F.col(name).try_cast(to)
+    convert = strict if on_error == "fail" else lenient
     out = df.withColumns({name: convert(name, to) for name, to in types.items()})
     if on_error == "mark":
-        bad = [F.col(n).isNotNull() & F.col(n).try_cast(to).isNull() for n, to in types.items()]
+        bad = [F.col(n).isNotNull() & lenient(n, to).isNull() for n, to in types.items()]
         flagged = df.withColumn("is_bad", F.greatest(*[b.cast("int") for b in bad]) == 1)
         out = flagged.withColumns({name: convert(name, to) for name, to in types.items()})
     return out.drop("georeference")

@@ -38,6 +38,16 @@ def test_bad_values_fail_or_are_marked(spark, tmp_path):
     assert [(r.is_bad, r.ridership) for r in marked] == [(True, None), (False, 1.0)]
 
 
+@pytest.mark.parametrize("text", ["2024-01", "2024-01-05", "2024-01-05T05:00:00Z", " 2024-01-05T05:00:00", "2024-01-05 05:00:00"])
+def test_only_iso_timestamps_pass(spark, tmp_path, text):
+    page(tmp_path / "p" / "1.json", [("A", text, 1)])
+    raw = landed.read_landed(spark, f"{tmp_path}/p")
+    with pytest.raises(Exception, match="bad transit_timestamp"):
+        landed.clean(raw).collect()
+    (row,) = landed.clean(raw, on_error="mark").collect()
+    assert row.is_bad and row.transit_timestamp is None
+
+
 def rows(spark, *items):
     df = spark.createDataFrame([(n, t, float(v)) for n, t, v in items], "station_complex string, t string, ridership double")
     return df.selectExpr(

@@ -99,8 +99,6 @@ def brute_curve(p, y, drop):
     keep = np.ones(len(cuts), bool)
     if drop:
         keep[1:-1] = (np.diff(tp, 2) != 0) | (np.diff(fp, 2) != 0)
-        # the first point is compared with the origin
-        keep[0] = len(cuts) == 1 or tp[1] - tp[0] != tp[0] or fp[1] - fp[0] != fp[0]
     return [(np.inf, 0.0, 0.0)] + [(c, f / fp[-1], t / tp[-1]) for c, f, t, k in zip(cuts, fp, tp, keep) if k]
 
 
@@ -111,6 +109,12 @@ def test_roc_points(spark, drop):
     np.testing.assert_allclose(got, brute_curve(p, y, drop), atol=1e-12)
 
 
+def test_roc_keeps_the_highest_score(spark):
+    df = spark.createDataFrame([(0.9, 1), (0.8, 1), (0.7, 1), (0.2, 0)], "predicted_prob double, actual int")
+    got = sorted((tuple(r) for r in evaluate.roc_points(df).collect()), reverse=True)
+    assert [r[0] for r in got] == [np.inf, 0.9, 0.7, 0.2]
+
+
 def test_calibration_bins_are_right_closed(spark):
     rows = [(0.0, 0), (0.1, 1), (0.10001, 0), (0.3, 1), (0.95, 1), (1.0, 0)]
     df = spark.createDataFrame(rows, "predicted_prob double, actual int")
