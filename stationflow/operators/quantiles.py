@@ -1,12 +1,13 @@
 """Exact, linearly interpolated quantiles of groups of any size.
 
 The built-in exact `percentile` keeps every distinct value of a group in one
-buffer. It serves where the largest group was counted to be small. Otherwise a mergeable sketch first brackets each wanted rank, then one
+buffer. Here a mergeable sketch first brackets each wanted rank, then one
 aggregation counts what lies between the brackets and keeps only the values
 inside them (about 0.2 % of a large group per quantile), and their ranks come
-from running sums over slices of a bracket, so no task gets a whole group. The
-picked values are exact; a bracket that missed its rank would raise an error,
-not a wrong value, and a larger `small_group` then counts every value.
+from running sums over slices of a bracket, so no task gets a whole group.
+Groups of few rows get open brackets, which hold all their values; the picked
+values and the arithmetic are the same for every bracket. Where a bracket missed
+its rank, its group is done again with a wider one.
 """
 
 from __future__ import annotations
@@ -21,24 +22,25 @@ from stationflow.session import materialise
 
 SKETCH_ACCURACY = 10_000
 MARGIN = 0.001
-SMALL_GROUP = 100_000
+OPEN_ROWS = 10_000
 SLICES = 1_000
 
 
-def _brackets(data: DataFrame, keys: list[str], inner: list[float], small_group: int) -> DataFrame:
+def _brackets(data: DataFrame, keys: list[str], inner: list[float], margin: float, open_rows: int) -> DataFrame:
     """Per key: row count, extremes, and an interval around each inner quantile.
 
-    Small groups get open intervals; so do sides that reach past the extremes.
+    Groups of at most `open_rows` rows get open intervals; so do sides that reach
+    past the extremes. NaN is above infinity, as in every order of Spark.
     """
-    edges = [p - MARGIN for p in inner] + [p + MARGIN for p in inner]
+    edges = [p - margin for p in inner] + [p + margin for p in inner]
     sketch = [F.percentile_approx("_x", [min(1.0, max(0.0, e)) for e in edges], SKETCH_ACCURACY).alias("_sketch")] if inner else []
     facts = data.groupBy(*keys).agg(F.count("_x").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"), *sketch)
-    small = F.col("_n") <= small_group
-    lowest, highest = F.lit(float("-inf")), F.lit(float("inf"))
+    few = F.col("_n") <= open_rows
+    lowest, highest = F.lit(float("-inf")), F.lit(float("nan"))
     columns = []
     for i, p in enumerate(inner):
-        low = lowest if p <= MARGIN else F.when(small, lowest).otherwise(F.col("_sketch")[i])
-        high = highest if p >= 1 - MARGIN else F.when(small, highest).otherwise(F.col("_sketch")[i + len(inner)])
+        low = lowest if p <= margin else F.when(few, lowest).otherwise(F.col("_sketch")[i])
+        high = highest if p >= 1 - margin else F.when(few, highest).otherwise(F.col("_sketch")[i + len(inner)])
         columns += [low.alias(f"_lo{i}"), high.alias(f"_hi{i}")]
     return facts.select(*[F.col(k).alias("_k_" + k) for k in keys], "_n", "_min", "_max", *columns)
 
@@ -57,27 +59,15 @@ def _slice_of(x: Column, count: int) -> tuple[Column, Column]:
     return found.isNull(), F.coalesce(found, behind * SLICES - 1)
 
 
-def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str],
-    small_group: int = SMALL_GROUP,
-) -> DataFrame:
-    """One row per key with a column per quantile; NULL values are left out.
+def _same_key(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("_k_" + k)) for k in keys])
 
-    Counts and brackets are written first, one row per key: they tell whether
-    all groups are small, and from their real size Catalyst decides whether they
-    are broadcast, so that the data is not shuffled by key.
-    """
-    keys = list(keys)
-    inner = sorted({float(p) for p in probs if 0 < p < 1})
-    data = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    brackets = materialise(_brackets(data, keys, inner, small_group), "brackets")
-    largest = brackets.agg(F.max("_n")).first()[0] or 0
-    if largest <= small_group:
-        buffered = data.groupBy(*keys).agg(F.percentile("_x", [float(p) for p in probs]).alias("_q"))
-        return buffered.select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(names)])
+
+def _neighbours(data: DataFrame, keys: list[str], inner: list[float], margin: float, open_rows: int) -> DataFrame:
+    """Per key: row count, extremes, and for each inner quantile the values on both sides of its rank (`_a0`, `_b0`, ...)."""
+    brackets = materialise(_brackets(data, keys, inner, margin, open_rows), "brackets")
     if keys:
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("_k_" + k)) for k in keys])
-        joined = data.join(brackets, same)
+        joined = data.join(brackets, _same_key(keys))
     else:
         joined = data.withColumn("_b", brackets.select(F.struct("*").alias("_b")).scalar()).select("_x", "_b.*")
 
@@ -94,19 +84,41 @@ def exact_quantiles(
     def value_at(rank: Column) -> Column:
         return F.max(F.when((begin <= rank) & (rank < end), F.col("_v")))
 
-    ranks = {p: F.lit(p) * (F.col("_n") - 1) for p in inner}
-    picks = [value_at(F.floor(r)).alias(f"_a{i}") for i, r in enumerate(ranks.values())]
-    picks += [value_at(F.ceil(r)).alias(f"_b{i}") for i, r in enumerate(ranks.values())]
+    ranks = [F.lit(p) * (F.col("_n") - 1) for p in inner]
+    picks = [value_at(F.floor(r)).alias(f"_a{i}") for i, r in enumerate(ranks)]
+    picks += [value_at(F.ceil(r)).alias(f"_b{i}") for i, r in enumerate(ranks)]
     picked = ranked.groupBy(*keys, *facts).agg(*picks) if picks else ranked.select(*keys, *facts).distinct()
+    if not inner or margin >= 1 or brackets.where(F.col("_n") > open_rows).isEmpty():
+        return picked  # every bracket is open
+    picked = materialise(picked, "picked")
+    missed = reduce(lambda a, b: a | b, [F.col(f"_{side}{i}").isNull() for side in "ab" for i in range(len(inner))])
+    rest = picked.where(missed)
+    if rest.isEmpty():
+        return picked
+    again = data.join(rest.select(*[F.col(k).alias("_k_" + k) for k in keys]), _same_key(keys), "left_semi") if keys else data
+    return picked.where(~missed).unionByName(_neighbours(again, keys, inner, margin * 10, open_rows))
+
+
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str],
+    open_rows: int = OPEN_ROWS, margin: float = MARGIN,
+) -> DataFrame:
+    """One row per key with a column per quantile; NULL values are left out.
+
+    Counts and brackets are written first, one row per key: from their real size
+    Catalyst decides whether they are broadcast, so that the data is not shuffled
+    by key. `open_rows` and `margin` change the work, not the values.
+    """
+    keys = list(keys)
+    inner = sorted({float(p) for p in probs if 0 < p < 1})
+    data = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    picked = _neighbours(data, keys, inner, margin, open_rows)
 
     def column(p: float) -> Column:
         if not 0 < p < 1:
             return F.col("_min" if p <= 0 else "_max")
-        i, rank = inner.index(p), ranks[p]
-        below, above = F.col(f"_a{i}"), F.col(f"_b{i}")
-        missed = F.raise_error(F.lit("quantile bracket missed its rank; set small_group above the row count of the group"))
-        return F.when(below.isNotNull() & above.isNotNull(), below + (above - below) * (rank - F.floor(rank))).otherwise(
-            missed.cast("double")
-        )
+        i = inner.index(p)
+        rank, below, above = F.lit(p) * (F.col("_n") - 1), F.col(f"_a{i}"), F.col(f"_b{i}")
+        return below + (above - below) * (rank - F.floor(rank))
 
     return picked.select(*keys, *[column(float(p)).alias(name) for p, name in zip(probs, names)])
