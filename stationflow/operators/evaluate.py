@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stationflow.operators.ordered import number_rows
+from stationflow.operators.ordered import running_sum
 from stationflow.schema import RIDERSHIP, STATION, TARGET_COL, TS
 
 SCORE, ACTUAL, PREDICTED = "predicted_prob", "actual", "predicted"
@@ -24,10 +24,23 @@ def year_split(df: DataFrame, train_year: int = 2023, test_year: int = 2024) ->
 
 
 def chronological_split(df: DataFrame, fraction: float = 0.8, ties: Sequence[str] = (STATION,)) -> DataFrame:
-    """Mark the first `fraction` of all rows in time order as `is_train`."""
-    placed = number_rows(df, [], TS, name="_row", total="_rows", ties=ties)
-    cut = F.floor(F.lit(fraction) * F.col("_rows"))
-    return placed.withColumn("is_train", (F.col("_row") <= cut).cast("int")).drop("_row", "_rows")
+    """Mark the first `fraction` of all rows in time order as `is_train`.
+
+    Counts per timestamp tell where the cut falls; only the rows of that one
+    timestamp are put in order, all others are compared with it.
+    """
+    counts = df.groupBy(TS).agg(F.count(F.lit(1)).alias("_n"))
+    ends = running_sum(counts, [], [TS], F.col(TS).cast("date"), F.col("_n"), "_end", "_rows")
+    cut, before = F.floor(F.lit(fraction) * F.col("_rows")), F.col("_end") - F.col("_n")
+    found = ends.where((before < cut) & (cut <= F.col("_end")))
+    at = found.select(F.struct(F.col(TS).alias("ts"), (cut - before).alias("left")).alias("_at"))
+    marked = df.withColumn("_at", at.scalar())
+    here = F.col("_at").isNotNull() & F.col(TS).eqNullSafe(F.col("_at.ts"))
+    earlier = F.col("_at.ts").isNotNull() & (F.col(TS).isNull() | (F.col(TS) < F.col("_at.ts")))
+    place = F.row_number().over(Window.partitionBy(TS).orderBy(*ties))
+    others = marked.where(~here).withColumn("is_train", F.coalesce(earlier, F.lit(False)).cast("int"))
+    tied = marked.where(here).withColumn("is_train", (place <= F.col("_at.left")).cast("int"))
+    return others.unionByName(tied).drop("_at")
 
 
 # --- rates and drift ------------------------------------------------------------------
@@ -107,11 +120,12 @@ def high_confidence_misses(df: DataFrame, below: float = 0.1) -> DataFrame:
 # --- ranking metrics ------------------------------------------------------------------
 def _score_bin(p: Column) -> Column:
     """A whole number that rises with the score; fine near 0 and 1, where
-    classifier scores crowd. Scores outside (0, 1) share an end bin."""
+    classifier scores crowd. Beyond 0 and 1, as for raw margins, bins widen with the distance."""
+    beyond = lambda d: F.floor(F.least(F.log1p(d) * 500, F.lit(400_000.0))).cast("int")
     return (
-        F.when(p <= 0, F.lit(-20_000))
-        .when(p >= 1, F.lit(20_000))
-        .otherwise(F.greatest(F.lit(-20_000), F.floor(F.log(p / (1 - p)) * 500).cast("int")))
+        F.when(p <= 0, -20_000 - beyond(-p))
+        .when(p >= 1, 20_000 + beyond(p - 1))
+        .otherwise(F.greatest(F.lit(-20_000), F.least(F.lit(20_000), F.floor(F.log(p / (1 - p)) * 500).cast("int"))))
     )
 
 

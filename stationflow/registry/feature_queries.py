@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stationflow.functions import names
 from stationflow.functions.holidays import holiday_calendar
 from stationflow.operators import features, labels, stations
+from stationflow.operators.quantiles import exact_quantiles
 from stationflow.operators.rollups import hourly_ridership
 from stationflow.plans.training import build_features
 from stationflow.registry.adapters import D, DD, H, HH, P, hourly_events, orders_view, part_names
@@ -156,6 +157,17 @@ def thresholds(spark, sf_dir):
     return rounded(labels.congestion_thresholds(events_table(spark, sf_dir)), ["threshold"])
 
 
+@query(
+    "thresholds_closed_brackets",
+    f"""WITH {HH} SELECT station_complex, {", ".join(f"round(quantile_cont(ridership, {q}), 6) AS q{i}" for i, q in enumerate((0.05, 0.5, 0.8, 0.95)))}
+    FROM hh GROUP BY 1""",
+)
+def thresholds_closed_brackets(spark, sf_dir):
+    names = ["q0", "q1", "q2", "q3"]
+    got = exact_quantiles(events_table(spark, sf_dir), ["station_complex"], "ridership", [0.05, 0.5, 0.8, 0.95], names, open_rows=0)
+    return rounded(got, names)
+
+
 @query("congestion_label", f"WITH {HH}, {LIMITS.format(source='hh', where='TRUE')} {label_sql('hh')}")
 def congestion_label(spark, sf_dir):
     return labels.add_congestion_label(events_table(spark, sf_dir))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from stationflow.operators.ordered import running_sum
 from stationflow.schema import NUMERIC_TEXT, TS, landed_schema
 from stationflow.sources.facts import select_range
 
@@ -52,10 +53,20 @@ def clean(df: DataFrame, on_error: str = "fail") -> DataFrame:
 
 
 def select_page(df: DataFrame, start: str | None = None, end: str | None = None, limit: int = 50_000, offset: int = 0) -> DataFrame:
-    """One page of a range in time order, ties by the remaining columns."""
+    """One page of a range in time order, ties by the remaining columns.
+
+    Counts per timestamp tell which timestamps a page touches; only their rows are put in order.
+    """
     ranged = select_range(df, None, start, end)
     ties = [c for c in ranged.columns if c != TS]
-    return ranged.orderBy(TS, *ties).offset(offset).limit(limit)
+    counts = ranged.groupBy(TS).agg(F.count(F.lit(1)).alias("_n"))
+    day = F.substring(F.col(TS).cast("string"), 1, 10)
+    ends = running_sum(counts, [], [TS], day, F.col("_n"), "_end")
+    before = F.col("_end") - F.col("_n")
+    touched = ends.where((F.col("_end") > offset) & (before < offset + limit)).select(F.col(TS).alias("_ts"), before.alias("_before"))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy(TS).orderBy(*(ties or [TS])))
+    placed = ranged.join(touched, F.col(TS).eqNullSafe(F.col("_ts"))).withColumn("_place", place)
+    return placed.where((F.col("_place") > offset) & (F.col("_place") <= offset + limit)).select(*ranged.columns).orderBy(TS, *ties)
 
 
 def newer_than(df: DataFrame, watermark: str | None, start: str) -> DataFrame:
