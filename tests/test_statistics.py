@@ -8,6 +8,7 @@ from stationflow.operators import evaluate
 from stationflow.operators.quantiles import exact_quantiles
 from stationflow.operators.rollups import ridership_by_hour
 from stationflow.operators.stations import add_station_tier
+from stationflow.sources.landed import select_page
 
 
 @pytest.fixture(scope="module")
@@ -177,3 +178,30 @@ def test_average_per_record_is_not_average_per_hour(spark):
     df = spark.createDataFrame(rows, "station_complex string, t string, ridership double")
     got = ridership_by_hour(df.selectExpr("cast(t as timestamp_ntz) transit_timestamp", "station_complex", "ridership")).first()
     assert (got.avg_ridership, got.total_ridership) == (3.0, 9.0)
+
+
+@pytest.mark.parametrize("fraction", [0.0, 0.1, 0.5, 0.75, 1.0])
+def test_chronological_split_cuts_inside_one_timestamp(spark, hours, fraction):
+    rows = [(f"s{i % 4}", f"2024-01-01 0{i // 4}:00:00", float(i)) for i in range(12)]
+    got = evaluate.chronological_split(hours(rows), fraction).orderBy("transit_timestamp", "station_complex").collect()
+    assert [r.is_train for r in got] == [int(i < int(fraction * 12)) for i in range(12)]
+
+
+def test_chronological_split_of_no_rows(hours):
+    assert evaluate.chronological_split(hours([]).limit(0), 0.8).collect() == []
+
+
+def test_margins_beyond_0_and_1_rank_like_any_score(spark):
+    rng = np.random.default_rng(3)
+    margin, y = rng.normal(0, 4, 300).round(1), rng.integers(0, 2, 300)
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(margin, y)], "predicted_prob double, actual int")
+    pos, neg = margin[y == 1][:, None], margin[y == 0][None, :]
+    want = ((pos > neg) + (pos == neg) / 2).mean()
+    assert evaluate.roc_auc(df).first()["auc"] == pytest.approx(want, abs=1e-12)
+
+
+@pytest.mark.parametrize("offset, limit", [(0, 3), (3, 4), (10, 5), (12, 5), (0, 50)])
+def test_page_holds_the_rows_at_its_positions(spark, hours, offset, limit):
+    rows = [(f"s{i % 4}", f"2024-01-01 0{i // 4}:00:00", float(i)) for i in range(12)]
+    page = select_page(hours(rows), limit=limit, offset=offset)
+    assert [r.ridership for r in page.collect()] == [float(i) for i in range(12)][offset : offset + limit]
