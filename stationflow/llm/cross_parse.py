@@ -2,8 +2,10 @@
 
 From labelled text of each language a suffix automaton of its words is built. A text
 is parsed against each automaton into phrases, each the longest match from
-where the last one ended. Phrases times the logarithm of the training length
-estimate the cross entropy; the language with the fewest such normalised phrases wins.
+where the last one ended. The parse is priced as a code: a phrase costs the bits of
+its first place in the training words, a byte they do not have its own bits and a flag. A place
+costs the same however much text follows it, so neither short nor long training
+text makes a language cheap. The language with the shortest code wins.
 
 Words are parsed one by one, each with its leading space, so a word that occurs
 often is parsed once per batch and counted as often as it occurs.
@@ -11,7 +13,6 @@ often is parsed once per batch and counted as often as it occurs.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from functools import lru_cache
 
@@ -27,6 +28,8 @@ SAMPLE_ROWS = 64
 MODEL_BYTES = 32768
 UNDECIDED = "und"
 LONGEST = 64
+#: Bits of a byte that the training words do not have: a flag and the byte. Codes are summed in whole parts of a bit, so their sums are exact.
+LITERAL_BITS, PARTS = 9, 1024
 _BREAKS = np.isin(np.arange(256), [9, 10, 11, 12, 13])
 
 
@@ -38,9 +41,10 @@ class Automaton:
         self.kind = np.zeros(256, np.int64)
         self.kind[used] = np.arange(1, len(used) + 1)
         nexts: list[dict[int, int]] = [{}]
-        link, length, last = [-1], [0], 0
-        for byte in text:
+        link, length, first, last = [-1], [0], [0], 0
+        for place, byte in enumerate(text):
             new = len(nexts)
+            first.append(place)
             nexts.append({})
             length.append(length[last] + 1)
             link.append(0)
@@ -55,6 +59,7 @@ class Automaton:
                     nexts.append(dict(nexts[to]))
                     length.append(length[at] + 1)
                     link.append(link[to])
+                    first.append(first[to])
                     link[to] = link[new] = twin
                     while at >= 0 and nexts[at].get(byte) == to:
                         nexts[at][byte] = twin
@@ -65,20 +70,27 @@ class Automaton:
         self.table = np.zeros((len(nexts), len(used) + 1), np.int32)
         for state, row in enumerate(nexts):
             self.table[state, self.kind[list(row)]] = list(row.values())
-        self.cost = math.log2(len(text) + 1)
-
-    def phrases(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """How many phrases each word has; all words step together. Words come longest first."""
-        count = np.zeros(len(starts), np.int64)
-        state = np.zeros(len(starts), np.int64)
+        # The Elias delta length of the place, without rounding up.
+        place = np.log2(np.array(first) + 2.0)
+        self.code = np.rint(PARTS * (place + 2 * np.log2(place + 1))).astype(np.int64)
+        self.code[0] = 0
+
+    def parse(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many phrases each word has (an unseen byte is one) and their code; all words step together. Words come longest first."""
+        count, code, state = (np.zeros(len(starts), np.int64) for _ in range(3))
         for k in range(int(sizes[0]) if len(sizes) else 0):
             n = int(np.searchsorted(-sizes, -k, "left"))
-            byte = self.kind[data[starts[:n] + k]]
-            to = self.table[state[:n], byte]
+            byte, at = self.kind[data[starts[:n] + k]], state[:n]
+            to, unseen = self.table[at, byte], byte == 0
             stuck = to == 0
-            count[:n] += stuck
+            count[:n] += (stuck & (at != 0)) + unseen.astype(np.int64)
+            code[:n] += np.where(stuck, self.code[at], 0) + unseen * (LITERAL_BITS * PARTS)
             state[:n] = np.where(stuck, self.table[0, byte], to)
-        return count + 1
+        return count + (state != 0), code + self.code[state]
+
+    def phrases(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """How many phrases each word has."""
+        return self.parse(data, starts, sizes)[0]
 
 
 @lru_cache(maxsize=1)
@@ -96,10 +108,10 @@ def _score(texts: pa.Array, models: tuple[tuple[str, bytes], ...]) -> tuple[np.n
     bounds = np.concatenate([[0], np.cumsum(counts)])
     costs = np.zeros((len(models), len(texts)))
     for k, automaton in enumerate(_automata(models)):
-        phrases = np.empty(len(units), np.int64)
-        phrases[order] = automaton.phrases(data, starts, sizes)
-        total = np.concatenate([[0], np.cumsum(phrases[index])])
-        costs[k] = (total[bounds[1:]] - total[bounds[:-1]]) * automaton.cost
+        code = np.empty(len(units), np.int64)
+        code[order] = automaton.parse(data, starts, sizes)[1]
+        total = np.concatenate([[0], np.cumsum(code[index])])
+        costs[k] = total[bounds[1:]] - total[bounds[:-1]]
     best = costs.argmin(axis=0)
     if len(models) == 1:
         return best, np.ones(len(texts))
@@ -107,11 +119,28 @@ def _score(texts: pa.Array, models: tuple[tuple[str, bytes], ...]) -> tuple[np.n
     return best, two[1] / np.maximum(two[0] + two[1], 1e-9)
 
 
+def _training(words: Counter, model_bytes: int) -> bytes:
+    """The most frequent words up to `model_bytes` bytes. Words longer than a parsed unit come last, each cut to its share of the room left."""
+    out = bytearray(b" ")
+    ranked = sorted(((word.encode(), n) for word, n in words.items()), key=lambda x: (len(x[0]) > LONGEST, -x[1], x[0]))
+    long = sum(len(word) > LONGEST for word, _ in ranked)
+    for word, _ in ranked:
+        room = model_bytes - len(out) - 1
+        if len(word) > LONGEST:
+            share = min(room, max(LONGEST, (room + 1) // long - 1))
+            word = word[: max(share, 0)].decode(errors="ignore").encode()
+            long -= 1
+        if word and len(word) <= room:
+            out += word + b" "
+    return bytes(out)
+
+
 def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, model_bytes: int = MODEL_BYTES) -> tuple[tuple[str, bytes], ...]:
     """(language, training words) from `labelled` (doc_id, text, lang).
 
     The bounded sample: of each language the `rows` rows that come first by a hash of
-    doc_id, and of their words the most frequent ones up to `model_bytes` bytes. What
+    doc_id, and of their words the most frequent ones up to `model_bytes` bytes (the
+    over-long ones last and cut, so unspaced text is learned as well). What
     reaches the driver is bounded by these for each language. Rows without language or text do not count.
     """
     known = labelled.filter("lang is not null and text is not null")
@@ -124,15 +153,7 @@ def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, model_bytes: int = MODEL
     words: dict[str, Counter] = {}
     for lang, text in first.select("lang", "text").collect():  # `rows` rows per language
         words.setdefault(lang, Counter()).update(text.lower().split())
-    models = []
-    for lang, counter in sorted(words.items()):
-        out = bytearray(b" ")
-        for word, _ in sorted(counter.items(), key=lambda x: (-x[1], x[0])):
-            if len(out) + len(word.encode()) + 1 > model_bytes:
-                break
-            out += word.encode() + b" "
-        models.append((lang, bytes(out)))
-    return tuple(models)
+    return tuple((lang, _training(counter, model_bytes)) for lang, counter in sorted(words.items()))
 
 
 def identify(docs: DataFrame, models: tuple[tuple[str, bytes], ...], text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:

@@ -174,6 +174,20 @@ def test_language_on_held_out_rows(spark, documents):
     assert cross_parse.identify(documents([]), models).count() == 0
 
 
+def test_languages_of_little_or_unspaced_training_text(spark):
+    rng = random.Random(5)
+    unspaced = lambda n: "".join(rng.choices("的一是不了人我在有他这中大来上国", k=n))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rows = [(-1, "ja da", "xx"), (-2, "hello world", "yy"), (-3, "a", "zz"), (-4, unspaced(30000), "zh"), (-5, "ein wort " + "Q" * 100000, "qq")]
+    models = cross_parse.learn(docs.filter(~cross_parse.held_out()).unionByName(spark.createDataFrame(rows, docs.schema)))
+    size = {lang: len(text) for lang, text in models}
+    assert 30000 < size["zh"] <= cross_parse.MODEL_BYTES and b" ein wort qqq" in dict(models)["qq"]
+    held = docs.filter(cross_parse.held_out()).unionByName(spark.createDataFrame([(-k, unspaced(500), "zh") for k in range(1, 5)], docs.schema))
+    told = cross_parse.identify(held, models)
+    share = {r.lang: r.share for r in told.groupBy("lang").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("share")).collect()}
+    assert min(share.values()) > 0.98, share
+
+
 def test_phrases_equal_greedy_parse():
     rng = random.Random(2)
     import numpy as np
