@@ -330,16 +330,23 @@ def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, block_rows:
     spark = docs.sparkSession
     bounded_batches(spark)
     keys = keys or {}
-    told = docs.select("doc_id", "text", *[c.alias(k) for k, c in keys.items()])
+    digest = F.xxhash64("text")
+    told = docs.select("doc_id", "text", *[c.alias(k) for k, c in keys.items()], digest.alias("_of_text"))
     docs = docs.select("doc_id", "text")
     carried = "".join(f"{k} {told.schema[k].dataType.simpleString()}, " for k in keys)
-    sets = materialise(told.mapInArrow(partial(_summaries, width=words), f"doc_id long, {carried}n_shingles long, sid long"), "sets")
+    sets = materialise(told.mapInArrow(partial(_summaries, width=words), f"doc_id long, {carried}_of_text long, n_shingles long, sid long"), "sets")
     groups = _shared(docs.select("text").mapInArrow(partial(_sign, width=words, percent=percent), "sign long, sid long, dealing long"))
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
-    stands = sets.filter("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    # One row stands for each set, also where rows repeat, share a doc_id or have none.
+    repeats = sets.filter("n_shingles > 0").groupBy("sid", "doc_id", "_of_text").agg(F.count("*").alias("repeats"))
+    stands = repeats.groupBy("sid").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_of_text", "repeats")).alias("x")).select("sid", F.col("x.doc_id").alias("id"), "x._of_text", "x.repeats")
     wanted = groups.join(sizes, "component").select(F.col("node").alias("sid"), F.col("component").alias("g"), "size").join(stands, "sid")
-    wanted = materialise(wanted.select(F.col("doc_id").alias("id"), "sid", "g", "size"), "wanted")
-    found = docs.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("id"))).select("text", "sid", "g", "size")
+    wanted = materialise(wanted.select("id", "_of_text", "sid", "g", "size", "repeats"), "wanted")
+    stand = F.col("doc_id").eqNullSafe(F.col("id")) & (digest == F.col("_of_text"))
+    found = docs.join(wanted.filter("repeats = 1").hint("shuffle_hash"), stand).select("text", "sid", "g", "size")
+    if wanted.filter("repeats > 1").limit(1).count():
+        again = docs.join(wanted.filter("repeats > 1"), stand).groupBy("sid", "g", "size").agg(F.any_value("text").alias("text"))
+        found = found.unionByName(again)
     rows = found.mapInArrow(partial(_members, width=words), "sid long, g long, size long, n long, grams array<long>")
     rows = materialise(rows, "rows")
     small, large = rows.filter(F.col("size") <= REGROUP_ROWS), rows.filter(F.col("size") > REGROUP_ROWS)

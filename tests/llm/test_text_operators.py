@@ -63,6 +63,16 @@ def test_classes_equal_brute_force(documents, width, percent, block_rows):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute_classes(rows, width, percent)
 
 
+def test_repeated_rows_in_a_large_group(documents):
+    def edited(k):
+        return " ".join(f"new{k}" if n == k else f"w{n}" for n in range(60))
+
+    rows = [(k, edited(4 * k + 3)) for k in range(12)] + [(50, edited(-1))] + [(60, edited(50))] * 10 + [(None, edited(54))] * 8 + [(None, edited(56)), (70, edited(58)), (70, edited(58) + " w0 w1 w2 w3"), (70, edited(58))]
+    got = ngram_join.link_classes(documents(rows), 4, 85).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_classes(rows, 4, 85)
+    assert {r.component_id for r in got} == {0}
+
+
 def test_classes_of_no_documents(documents):
     assert ngram_join.link_classes(documents([])).count() == 0
     assert ngram_join.drop_near_copies(documents([])).count() == 0
