@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationflow.llm import cross_parse, exact_dedup, external_shuffle, license_scan, merkle, ngram_join, preference_chat, sentencepiece_trie, temperature_mix, url_rules
+from stationflow.session import materialise
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 SHARDS = 24
@@ -32,12 +33,22 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation as chosen; rejected is the same with its last assistant turn answered as in its neighbour (ids 2k and 2k + 1)."""
+    """Every conversation as chosen; rejected is the same up to its last assistant turn, which is answered as in the next conversation that has one.
+
+    The next conversation is that of the next larger id, after the last the first. A conversation without
+    an assistant turn is its own rejected one, so both its completions are empty.
+    """
     turns = _table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
-    answer = turns.filter("role = 'assistant'").groupBy("pair_id").agg(F.max("turn").alias("at"), F.max_by("text", "turn").alias("answer"))
-    other = answer.select(F.expr("pair_id ^ 1").alias("pair_id"), F.col("answer").alias("other"))
-    swapped = answer.select("pair_id", "at").join(other, "pair_id")
-    rejected = turns.join(swapped, "pair_id").filter("turn <= at").select("pair_id", "turn", "role", F.when(F.col("turn") == F.col("at"), F.col("other")).otherwise(F.col("text")).alias("text"))
+    last = F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("answer"))).alias("last")
+    answer = turns.filter("role = 'assistant' and pair_id is not null").groupBy("pair_id").agg(last)
+    answer = materialise(answer.select("pair_id", F.col("last.turn").alias("at"), "last.answer"), "answers")
+    ahead = merkle.following(answer.select(F.col("pair_id").alias("doc_id"))).select(F.col("doc_id").alias("pair_id"), "next_id")
+    other = answer.select(F.col("pair_id").alias("next_id"), F.col("answer").alias("other"))
+    swapped = answer.join(ahead, "pair_id").join(other, "next_id").drop("next_id")
+    has, turn = F.col("other").isNotNull(), F.col("turn")
+    upto = F.coalesce(turn <= F.col("at"), turn.isNull())
+    at = has & (F.col("role") == "assistant") & turn.eqNullSafe(F.col("at")) & (F.coalesce("text", F.lit("")) == F.col("answer"))
+    rejected = turns.join(swapped, "pair_id", "left").filter(~has | upto).select("pair_id", "turn", "role", F.when(at, F.col("other")).otherwise(F.col("text")).alias("text"))
     return preference_chat.format_preferences(turns, rejected)
 
 

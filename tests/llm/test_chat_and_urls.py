@@ -30,6 +30,21 @@ def test_preferences(spark):
     assert preference_chat.format_preferences(turns(spark, []), turns(spark, rejected)).count() == 0
 
 
+def test_every_conversation_comes_back(spark, tmp_path):
+    rows = [(5, 0, "user", "q5"), (5, 1, "assistant", "a5"), (5, 2, "user", "thanks"), (8, 0, "user", "q8"), (20, 0, "user", "q20"), (20, 1, "assistant", "a20"), (31, None, "assistant", "a31"), (33, 0, None, None)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r.pair_id: r for r in queries.op3_preference_chat(spark, str(tmp_path)).collect()}
+    say = lambda role, text: f"<|{role}|>\n{text}<|end|>\n"
+    assert {k: (r.prompt, r.chosen, r.rejected) for k, r in got.items()} == {
+        5: (say("user", "q5"), say("assistant", "a5") + say("user", "thanks"), say("assistant", "a20")),
+        8: (say("user", "q8"), "", ""),
+        20: (say("user", "q20"), say("assistant", "a20"), say("assistant", "a31")),
+        31: ("", say("assistant", "a31"), say("assistant", "a5")),
+        33: (say("unknown", ""), "", ""),
+    }
+    assert queries.op3_preference_chat(spark, "/root/testdata/sf0.01").count() == spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").select("conv_id").distinct().count()
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("clash"))
 
