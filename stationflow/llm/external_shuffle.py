@@ -25,6 +25,44 @@ def _starts(counts: DataFrame) -> DataFrame:
     return inner.join(base, "run").select("bucket", (F.col("base") + F.col("inner")).alias("start"))
 
 
+def _scatter(records: DataFrame, shards: int, size: str, seed: int, bucket_bytes: int) -> tuple[DataFrame, DataFrame, int]:
+    """(bucket, record) of every row, with `_copy` in the record; the start of each bucket; and how many rows there are.
+
+    Only rows whose hash occurs again are grouped to number their copies; all others keep out of that shuffle.
+    """
+    columns = [f"`{c}`" for c in records.columns]
+    digest = F.xxhash64(*columns)
+    total, rows = records.agg(F.coalesce(F.sum(size), F.lit(0)), F.count("*")).first()
+    buckets = max(1, -(-int(total) // bucket_bytes), -(-shards // 4))
+    several = materialise(records.groupBy(digest.alias("_digest")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_digest"), "repeats")
+    each = records.withColumn("_copy", F.lit(1).cast("long"))
+    if several.limit(1).count():
+        again = records.join(several, digest == F.col("_digest"), "left_semi").groupBy(*columns).agg(F.count("*").alias("_copies"))
+        again = again.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).drop("_copies")
+        each = each.join(several, digest == F.col("_digest"), "left_anti").unionByName(again)
+    bucket = F.pmod(F.xxhash64(F.lit(seed), *columns, "_copy"), F.lit(buckets)).alias("bucket")
+    start = materialise(_starts(each.select(bucket).groupBy("bucket").agg(F.count("*").alias("n"))), "starts")
+    return each.select(bucket, F.struct("_copy", *columns).alias("record")), start, int(rows)
+
+
+def _mixed(scattered: DataFrame, seed: int) -> DataFrame:
+    """(bucket, at, record): every bucket in random order."""
+    whole = scattered.groupBy("bucket").agg(F.array_sort(F.collect_list("record")).alias("records"))
+    return whole.select("bucket", F.posexplode(F.shuffle("records", seed)).alias("at", "record"))
+
+
+def _placed(mixed: DataFrame, start: DataFrame, rows: int, shards: int) -> DataFrame:
+    """The records with shard and slot."""
+    place = mixed.join(start, "bucket").withColumn("place", F.col("start") + F.col("at"))
+    placed = place.withColumn("shard", F.expr(f"place * {shards} div {max(rows, 1)}"))
+    first = F.expr(f"(shard * {rows} + {shards - 1}) div {shards}")
+    return placed.select("record.*", F.col("shard").cast("int").alias("shard"), (F.col("place") - first).alias("slot")).drop("_copy")
+
+
+def _kept(records: DataFrame) -> DataFrame:
+    return records.select(*[f"`{c}`" for c in records.columns if c.lower() not in ("shard", "slot")])
+
+
 def shuffled_shards(records: DataFrame, shards: int, size: str, seed: int = 0, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """`records` with shard (0 to `shards` - 1) and slot (0, 1, ... within the shard), in random order.
 
@@ -35,22 +73,8 @@ def shuffled_shards(records: DataFrame, shards: int, size: str, seed: int = 0, b
     result. The permutation is fixed by its written table, so a lost executor
     cannot mix two orders.
     """
-    columns = [c for c in records.columns if c.lower() not in ("shard", "slot")]
-    counted = records.groupBy(*[f"`{c}`" for c in columns]).agg(F.count("*").alias("_copies"))
-    counted = materialise(counted, "records")
-    total, rows = counted.agg(F.coalesce(F.sum(F.col(size) * F.col("_copies")), F.lit(0)), F.coalesce(F.sum("_copies"), F.lit(0))).first()
-    buckets = max(1, -(-int(total) // bucket_bytes), -(-shards // 4))
-    each = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).drop("_copies")
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[f"`{c}`" for c in columns], "_copy"), F.lit(buckets)).alias("bucket")
-    scattered = each.select(bucket, F.struct("_copy", *[f"`{c}`" for c in columns]).alias("record"))
-    whole = scattered.groupBy("bucket").agg(F.array_sort(F.collect_list("record")).alias("records"))
-    mixed = whole.select("bucket", F.posexplode(F.shuffle("records", seed)).alias("at", "record"))
-    mixed = materialise(mixed, "shuffled")
-    start = _starts(mixed.groupBy("bucket").agg(F.count("*").alias("n")))
-    place = mixed.join(start, "bucket").withColumn("place", F.col("start") + F.col("at"))
-    placed = place.withColumn("shard", F.expr(f"place * {shards} div {max(int(rows), 1)}"))
-    first = F.expr(f"(shard * {int(rows)} + {shards - 1}) div {shards}")
-    return placed.select("record.*", F.col("shard").cast("int").alias("shard"), (F.col("place") - first).alias("slot")).drop("_copy")
+    scattered, start, rows = _scatter(_kept(records), shards, size, seed, bucket_bytes)
+    return _placed(materialise(_mixed(scattered, seed), "shuffled"), start, rows, shards)
 
 
 def write_shards(records: DataFrame, path: str, shards: int, seed: int = 0, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -59,6 +83,8 @@ def write_shards(records: DataFrame, path: str, shards: int, seed: int = 0, buck
     for c, kind in records.dtypes:
         size = size + (F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) if kind in ("string", "binary") else F.lit(8))
     sized = records.withColumn("_bytes", size.cast("long"))
-    placed = shuffled_shards(sized, shards, "_bytes", seed, bucket_bytes).drop("_bytes")
-    placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    scattered, start, rows = _scatter(_kept(sized), shards, "_bytes", seed, bucket_bytes)
+    # Neighbouring buckets share a task, so the texts cross the network once and files are in slot order.
+    placed = _placed(_mixed(scattered.repartitionByRange("bucket"), seed), start, rows, shards).drop("_bytes")
+    placed.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
     return records.sparkSession.read.parquet(path)

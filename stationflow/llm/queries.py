@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationflow.llm import cross_parse, exact_dedup, external_shuffle, license_scan, merkle, ngram_join, preference_chat, sentencepiece_trie, temperature_mix, url_rules
-from stationflow.session import materialise
+from stationflow.session import materialise, scratch_path
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 SHARDS = 24
@@ -65,10 +65,11 @@ def op6_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents written as shards; size, checksum and place are those of the written records."""
+    written = external_shuffle.write_shards(_table(spark, sf_dir, "documents"), scratch_path(spark, "shards"), SHARDS)
     text = F.coalesce("text", F.lit(""))
-    records = _table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    placed = external_shuffle.shuffled_shards(records, SHARDS, "size")
-    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    size, crc = (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    return written.select("doc_id", size, crc, F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op8_cross_parse_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,6 +168,23 @@ def test_shards(documents, spark, tmp_path):
     assert written.count() == len(rows) and written.select("shard").distinct().count() == 5
 
 
+def test_shuffle_query_writes_whole_documents(spark):
+    from pathlib import Path
+
+    from stationflow.llm.queries import op7_external_shuffle
+    from stationflow.session import shared_dir
+
+    folder = Path(shared_dir(spark))
+    before = set(folder.glob("shards-*"))
+    out = {(r.doc_id, r.shard, r.slot): (r["size"], r.text_crc32) for r in op7_external_shuffle(spark, SMALL).collect()}
+    (path,) = set(folder.glob("shards-*")) - before
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    written = spark.read.parquet(str(path))
+    assert sorted(map(str, written.select(*docs.columns).collect())) == sorted(map(str, docs.collect()))
+    told = {(r.doc_id, r.shard, r.slot): (len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode())) for r in written.collect()}
+    assert told == out
+
+
 def test_language_on_held_out_rows(spark, documents):
     from stationflow.llm.queries import op8_cross_parse_language
 
