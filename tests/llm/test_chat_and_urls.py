@@ -85,4 +85,4 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert out.count() > 0 and {"doc_id", "ids", "n_pieces"} <= set(out.columns)
     texts = [r.text for r in corpus_pipeline.STAGES[1][1](spark, docs, SMALL).collect()]
-    assert len(texts) == len(set(texts)) == duckdb.sql(f"SELECT count(DISTINCT text) FROM '{SMALL}/documents.parquet'").fetchone()[0]
+    assert len(texts) == len(set(texts)) == duckdb.sql(f"SELECT count(DISTINCT text) FROM '{SMALL}/documents.parquet'").fetchall()[0][0]
