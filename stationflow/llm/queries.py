@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stationflow.llm import cross_parse, exact_dedup, external_shuffle, license_scan, merkle, ngram_join, preference_chat, sentencepiece_trie, temperature_mix, url_rules
+from stationflow.llm import (
+    cross_parse, exact_dedup, external_shuffle, importance, license_scan, merkle, ngram_join, preference_chat, sentencepiece_trie, temperature_mix, url_rules,
+)
 from stationflow.session import materialise, scratch_path
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -92,9 +94,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(files)
 
 
+def op11_bitsliced_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=10, seed=2024)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_url_filters, op3_preference_chat, op4_sentencepiece, op5_exact_dedup, op6_merkle_fingerprints,
     op7_external_shuffle, op8_cross_parse_language, op9_temperature_mix, op10_license_scan,
+    op11_bitsliced_importance,
 )}
 
 SQL: dict[str, str] = {}
@@ -159,3 +166,37 @@ c AS (SELECT x, min(y) AS least FROM reach GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.least, d.doc_id)) AS component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.x = d.doc_id
 """
+
+# crc32 by its table of 256 remainders, over the bytes of each distinct word.
+SQL["op11_bitsliced_importance"] = r"""
+WITH RECURSIVE steps(i, k, v) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM steps WHERE k < 8),
+tab AS (SELECT list(v ORDER BY i) AS tab FROM steps WHERE k = 8),
+texts AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+words AS (
+  SELECT side, id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts),
+coded AS (SELECT DISTINCT word, hex(encode(word)) AS code FROM words),
+bytes AS (
+  SELECT word, list_transform(range(0, length(code) // 2), lambda k:
+    CAST(16 * (strpos('0123456789ABCDEF', substr(code, CAST(2 * k + 1 AS BIGINT), 1)) - 1) + strpos('0123456789ABCDEF', substr(code, CAST(2 * k + 2 AS BIGINT), 1)) - 1 AS BIGINT)) AS b FROM coded),
+hashed AS (
+  SELECT word, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda crc, x: xor(crc >> 8, tab[CAST((xor(crc, x) & 255) + 1 AS BIGINT)])), 4294967295) % 10000 AS bucket
+  FROM bytes, tab),
+occurs AS (SELECT side, id, bucket FROM words JOIN hashed USING (word)),
+per AS (SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM occurs GROUP BY 1),
+total AS (SELECT CAST(sum(s) AS DOUBLE) AS s, CAST(sum(t) AS DOUBLE) AS t FROM per),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(((CAST(per.t AS DOUBLE) + 1) * (total.s + 10000)) / ((CAST(per.s AS DOUBLE) + 1) * (total.t + 10000)))) AS BIGINT) AS gain FROM per, total),
+mean AS (
+  SELECT id AS doc_id, count(*) AS n_features, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+  FROM occurs JOIN gain USING (bucket) WHERE side = 'd' GROUP BY 1),
+noisy AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((
+    list_reduce(list_transform(range(1, 9), lambda k: CAST(strpos('0123456789abcdef', substr(sha256('2024:' || doc_id), CAST(k AS BIGINT), 1)) - 1 AS BIGINT)),
+      lambda a, b: 16 * a + b) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM documents LEFT JOIN mean USING (doc_id)),
+able AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM noisy WHERE n_features >= 20)
+SELECT noisy.*, able.rank FROM noisy LEFT JOIN able ON able.doc_id = noisy.doc_id AND rank <= 10 * n // 100
+"""
