@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationflow.llm import (
-    cross_parse, exact_dedup, external_shuffle, importance, license_scan, merkle, ngram_join, preference_chat, sentencepiece_trie, temperature_mix, url_rules,
+    cross_parse, exact_dedup, external_shuffle, importance, license_scan, merkle, ngram_join, preference_chat, ranked_search, sentencepiece_trie,
+    temperature_mix, url_rules,
 )
 from stationflow.session import materialise, scratch_path
 
@@ -98,10 +99,14 @@ def op11_bitsliced_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=10, seed=2024)
 
 
+def op13_lemp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_url_filters, op3_preference_chat, op4_sentencepiece, op5_exact_dedup, op6_merkle_fingerprints,
     op7_external_shuffle, op8_cross_parse_language, op9_temperature_mix, op10_license_scan,
-    op11_bitsliced_importance,
+    op11_bitsliced_importance, op13_lemp_search,
 )}
 
 SQL: dict[str, str] = {}
@@ -200,3 +205,23 @@ noisy AS (
 able AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM noisy WHERE n_features >= 20)
 SELECT noisy.*, able.rank FROM noisy LEFT JOIN able ON able.doc_id = noisy.doc_id AND rank <= 10 * n // 100
 """
+
+SQL["op13_lemp_search"] = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM documents),
+size AS (SELECT doc_id, count(*) AS n FROM words GROUP BY 1),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM size),
+post AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY 1, 2),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM post, corpus GROUP BY term, docs),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // total))))) AS BIGINT) AS score
+  FROM asked JOIN post USING (term) JOIN weight USING (term) JOIN size USING (doc_id), corpus GROUP BY 1, 2),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
