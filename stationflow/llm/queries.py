@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationflow.llm import (
-    cross_parse, exact_dedup, external_shuffle, importance, license_scan, merkle, ngram_join, preference_chat, ranked_search, sentencepiece_trie,
-    temperature_mix, url_rules,
+    cross_parse, exact_dedup, external_shuffle, importance, license_scan, merkle, ngram_join, preference_chat, ranked_search, secret_ledger,
+    sentencepiece_trie, temperature_mix, url_rules,
 )
 from stationflow.session import materialise, scratch_path
 
@@ -99,6 +99,15 @@ def op11_bitsliced_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=10, seed=2024)
 
 
+def op12_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as the versions of a history, scanned into a new ledger with the base rules and those for tokens of known services."""
+    found = secret_ledger.scan_history(_table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"), "first", keys=("doc_id",))
+    base = [r.kind for r in secret_ledger.BASE_RULES]
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    plain = secret_ledger.spans_text(F.filter("spans", lambda s: s["kind"].isin(base)))
+    return found.select("doc_id", *[of(k) for k in base], F.sha2(plain.cast("binary"), 256).alias("base_sha256"), secret_ledger.spans_text(F.col("spans")).alias("spans"))
+
+
 def op13_lemp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
 
@@ -106,7 +115,7 @@ def op13_lemp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_url_filters, op3_preference_chat, op4_sentencepiece, op5_exact_dedup, op6_merkle_fingerprints,
     op7_external_shuffle, op8_cross_parse_language, op9_temperature_mix, op10_license_scan,
-    op11_bitsliced_importance, op13_lemp_search,
+    op11_bitsliced_importance, op12_secret_ledger, op13_lemp_search,
 )}
 
 SQL: dict[str, str] = {}
@@ -225,3 +234,35 @@ ranked AS (
   SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0)
 SELECT * FROM ranked WHERE rank <= 10
 """
+
+# Matches are marked by two characters that texts are freed of before, and positions are sums of lengths.
+_KINDS = [
+    ("assign", "(([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+))"),
+    ("access", "(AKIA[A-Z0-9]+)"),
+    ("hex", "([0-9a-f]+)"),
+    ("private_key", "(-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----)"),
+    ("github", "(\\bgh[pousr]_[A-Za-z0-9]{36,})"),
+    ("slack", "(\\bxox[abprs]-[A-Za-z0-9-]{10,})"),
+    ("google", "(\\bAIza[A-Za-z0-9_-]{35})"),
+    ("jwt", "(\\beyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,})"),
+]
+_LEAST = """CASE kind WHEN 'assign' THEN length(regexp_extract(found, pattern, 3)) >= 12
+  WHEN 'access' THEN length(found) >= 18 WHEN 'hex' THEN length(found) >= 16 ELSE TRUE END"""
+
+SQL["op12_secret_ledger"] = f"""
+WITH kinds(place, kind, pattern) AS (VALUES {", ".join(f"({i}, '{kind}', '{pattern}')" for i, (kind, pattern) in enumerate(_KINDS))}),
+texts AS (SELECT DISTINCT coalesce(text, '') AS text FROM documents),
+cut AS (
+  SELECT text, place, kind, pattern, unnest(string_split(regexp_replace(translate(text, chr(1) || chr(2), chr(3) || chr(3)), pattern, chr(1) || '\\1' || chr(2), 'g'), chr(1))) AS part,
+         generate_subscripts(string_split(regexp_replace(translate(text, chr(1) || chr(2), chr(3) || chr(3)), pattern, chr(1) || '\\1' || chr(2), 'g'), chr(1)), 1) AS k
+  FROM texts, kinds),
+marked AS (
+  SELECT text, place, kind, pattern, k, string_split(part, chr(2))[1] AS found,
+         coalesce(sum(length(replace(part, chr(2), ''))) OVER (PARTITION BY text, place ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM cut),
+spans AS (SELECT text, place, kind, start, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + length(found) AS BIGINT) AS span FROM marked WHERE k > 1 AND {_LEAST}),
+per AS (
+  SELECT text, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(span, ',' ORDER BY start, place) FILTER (place < 3) AS base, string_agg(span, ',' ORDER BY start, place) AS spans FROM spans GROUP BY text)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN per ON per.text = coalesce(d.text, '')
+"""
