@@ -1,32 +1,24 @@
 """Training, scoring and saving the classifier.
 
-Spark MLlib's gradient-boosted trees with the published settings. Two things
-differ from other boosting libraries: validation stops on a loss tolerance
-rather than after rounds without gain, and missing features must be filled.
+Boosted trees with the published settings (see `boosting`), kept as a Spark MLlib
+model. Missing features must be filled for MLlib.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from stationflow.plans.boosting import boost
 from stationflow.schema import FEATURE_COLS, STATION_FEATURES, TARGET_COL
-from stationflow.session import materialise, shared_dir
+from stationflow.session import materialise
 
 # --- Fixed values: training settings --------------------------------------------
-SETTINGS = {
-    "maxIter": 500,
-    "maxDepth": 6,
-    "stepSize": 0.05,
-    "subsamplingRate": 0.8,
-    "featureSubsetStrategy": "0.8",
-    "seed": 42,
-}
+SETTINGS = {"rounds": 500, "depth": 6, "step": 0.05, "row_share": 0.8, "column_share": 0.8, "patience": 20, "seed": 42}
 MISSING = -1.0
 KNOWN_FLAG = "has_station_features"
 
@@ -54,24 +46,32 @@ def train_model(
     train: DataFrame, validation: DataFrame | None = None, features: Sequence[str] = tuple(FEATURE_COLS),
     target: str = TARGET_COL, **overrides,
 ) -> PipelineModel:
-    """Fit the classifier; with a validation frame boosting stops when its loss does not improve."""
+    """Fit the classifier; with a validation frame boosting stops after 20 rounds without gain and keeps the best round's trees."""
+    return train_with_history(train, validation, features, target, **overrides)[0]
+
+
+def train_with_history(
+    train: DataFrame, validation: DataFrame | None = None, features: Sequence[str] = tuple(FEATURE_COLS),
+    target: str = TARGET_COL, **overrides,
+) -> tuple[PipelineModel, DataFrame]:
+    """The fitted classifier, and (round, train_loss, validation_loss, is_best) of every round.
+
+    `overrides` replace SETTINGS. The best round has the least validation loss, the first one of equals; without a validation frame it is the last.
+    """
     spark = train.sparkSession
-    shared_dir(spark)  # boosting cuts its lineage there
-    data = prepare_features(train, features, target).withColumn("_validation", F.lit(False))
-    if validation is not None:
-        data = data.unionByName(prepare_features(validation, features, target).withColumn("_validation", F.lit(True)))
-    # boosting reads its input again in every round: keep the finished features
-    data = materialise(data, "training")
-    weight = class_balance(data.where(~F.col("_validation")), target).first()["positive_weight"] or 1.0
-    data = data.withColumn("_weight", F.when(F.col(target) == 1, F.lit(float(weight))).otherwise(F.lit(1.0)))
-    inputs = [*features, KNOWN_FLAG]
-    booster = GBTClassifier(
-        featuresCol="features", labelCol=target, weightCol="_weight",
-        cacheNodeIds=True, checkpointInterval=10, **{**SETTINGS, **overrides},
-    )
+    data = prepare_features(train, features, target).withColumn("held", F.lit(False))
     if validation is not None:
-        booster = booster.setValidationIndicatorCol("_validation")
-    return Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="features"), booster]).fit(data)
+        data = data.unionByName(prepare_features(validation, features, target).withColumn("held", F.lit(True)))
+    # Boosting reads its input again in every round: keep the finished features.
+    data = materialise(data.where(F.col(target).isNotNull()), "training")
+    weight = class_balance(data.where(~F.col("held")), target).first()["positive_weight"] or 1.0
+    assembler = VectorAssembler(inputCols=[*features, KNOWN_FLAG], outputCol="features")
+    scale = F.when(F.col(target) == 1, F.lit(float(weight))).otherwise(F.lit(1.0)).alias("scale")
+    rows = assembler.transform(data).select("features", F.col(target).alias("label"), scale, "held")
+    booster, rounds = boost(rows, **{**SETTINGS, **overrides})
+    told = [(r.number, r.train_loss, r.validation_loss, r.number == booster.getNumTrees) for r in rounds]
+    history = spark.createDataFrame(told, "round int, train_loss double, validation_loss double, is_best boolean")
+    return PipelineModel([assembler, booster]), history
 
 
 def score(model: PipelineModel, df: DataFrame, features: Sequence[str] = tuple(FEATURE_COLS)) -> DataFrame:

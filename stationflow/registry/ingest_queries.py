@@ -6,16 +6,20 @@ the feed, takes them in again and returns what was stored.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, functions as F
 
 from stationflow.functions.timeparts import iso_text
 from stationflow.operators.evaluate import roc_auc
 from stationflow.operators.labels import add_congestion_label, congestion_thresholds
+from stationflow.operators.rollups import hourly_ridership
 from stationflow.plans import backfill, model, training
+from stationflow.plans.boosting import log_loss
 from stationflow.registry.adapters import D, H, HH, events_view, hourly_events, orders_view, table
-from stationflow.registry.base import query
-from stationflow.registry.feature_queries import event_stations
-from stationflow.schema import LAG_FEATURES, TIME_FEATURES
+from stationflow.registry.base import query, rounded
+from stationflow.registry.feature_queries import LIMITS, event_stations, label_sql
+from stationflow.schema import FEATURE_COLS
 from stationflow.session import materialise, scratch_path
 from stationflow.sources import facts, landed, sinks
 from stationflow.streaming import ingest, rollup
@@ -205,36 +209,121 @@ def stream_without_repeats(spark, sf_dir):
     return spark.read.schema(unique.schema).parquet(path)
 
 
-# --- models: iterative, no SQL ----------------------------------------------------------------
-MODEL_FEATURES = [*TIME_FEATURES, *LAG_FEATURES]
+# --- models: SQL says the rows, labels, loss sums and what must hold for any fit ----------------
+#: A larger step than the published one, so that the best round comes early: on small tables a round is a second of job starts.
+STEP = 0.3
+
+MODEL_ROWS = f"""{HH}, numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY station_complex, month(transit_timestamp) ORDER BY transit_timestamp) AS rn FROM hh
+    WHERE transit_timestamp >= '2024-01-01' AND transit_timestamp < '2024-02-01'),
+  k AS (SELECT transit_timestamp, station_complex, ridership FROM numbered WHERE rn > 168), {LIMITS.format(source='k', where='day(transit_timestamp) <= 22')},
+  train AS ({label_sql('k', 'day(transit_timestamp) <= 22')}), test AS ({label_sql('k', 'day(transit_timestamp) > 22')})"""
 
 
+@lru_cache(maxsize=1)
 def fitted(spark, sf_dir):
-    """Train on the first weeks, test on the last."""
+    """(model, rounds, training rows, test rows): trained on the first weeks, judged on the last."""
     matrix = training.build_features(hourly_events(spark, sf_dir), "2024-01-01", "2024-02-01", event_stations(spark, sf_dir))
     matrix = materialise(matrix, "features")
     early = F.dayofmonth("transit_timestamp") <= 22
-    limits = congestion_thresholds(matrix.where(early))
-    train, test = (add_congestion_label(df, thresholds=limits) for df in (matrix.where(early), matrix.where(~early)))
-    return model.train_model(train, maxIter=5, maxDepth=4), test
+    limits = materialise(congestion_thresholds(matrix.where(early)), "thresholds")
+    train, test = (materialise(add_congestion_label(df, thresholds=limits), "labelled") for df in (matrix.where(early), matrix.where(~early)))
+    return *model.train_with_history(train, test, step=STEP), train, test
 
 
-@query("train_predict")
+@query(
+    "train_predict",
+    f"""WITH {MODEL_ROWS} SELECT transit_timestamp, station_complex, is_congested AS actual, TRUE AS is_probability, TRUE AS cut_at_half FROM test""",
+)
 def train_predict(spark, sf_dir):
-    booster, test = fitted(spark, sf_dir)
+    booster, _, _, test = fitted(spark, sf_dir)
     result = training.scored(test, lambda df: model.score(booster, df))
-    return result.select("transit_timestamp", "station_complex", "predicted_prob", "predicted", "actual")
+    p = F.col("predicted_prob")
+    return result.select(
+        "transit_timestamp", "station_complex", "actual", p.between(0, 1).alias("is_probability"),
+        (F.col("predicted") == (p > 0.5).cast("int")).alias("cut_at_half"),
+    )
+
+
+@query(
+    "early_stopping",
+    f"""WITH {MODEL_ROWS} SELECT (SELECT COUNT(*) FROM train) AS train_rows, (SELECT COUNT(*) FROM test) AS validation_rows,
+    round(ln(2), 6) AS start_loss, TRUE AS best_is_least, TRUE AS stopped_by_patience, TRUE AS kept_best_trees, TRUE AS loss_is_the_models""",
+)
+def early_stopping(spark, sf_dir):
+    """What must hold for the rounds of any run that stopped: 20 rounds after the least loss, whose trees are the model."""
+    booster, rounds, train, test = fitted(spark, sf_dir)
+    best = F.min_by("round", F.struct("validation_loss", "round"))
+    told = rounds.where("round > 0").agg(
+        (F.max("round") - best == model.SETTINGS["patience"]).alias("stopped_by_patience"), (best == booster.stages[-1].getNumTrees).alias("kept_best_trees"),
+        (F.min(F.when(F.col("is_best"), F.col("validation_loss"))) == F.min("validation_loss")).alias("best_is_least"), F.min("validation_loss").alias("least"),
+    )
+    start = rounds.where("round = 0").select(F.round("validation_loss", 6).alias("start_loss"))
+    counts = train.agg(F.count("*").alias("train_rows")).crossJoin(test.agg(F.count("*").alias("validation_rows")))
+    loss = model.score(booster, test).agg(F.avg(log_loss(F.col("is_congested"), F.col("predicted_prob"))).alias("loss"))
+    joined = counts.crossJoin(start).crossJoin(told).crossJoin(loss)  # one row each
+    return joined.withColumn("loss_is_the_models", F.abs(F.col("loss") - F.col("least")) < 1e-9).drop("loss", "least")
+
+
+def stumps_sql(rounds: int, step: float, features: list[str]) -> str:
+    """Second-order boosting of one-split trees, one CTE a round: the split with the largest gain, its two leaf values, new margins."""
+    out = ["m0 AS (SELECT *, CAST(0 AS DOUBLE) AS margin FROM rows)"]
+    splits = " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS x, g, h FROM d{{k}}" for f in features)
+    value = "CASE split.feature " + " ".join(f"WHEN '{f}' THEN m{{k}}.{f}" for f in features) + " END"
+    for k in range(rounds):
+        out += [
+            f"d{k} AS (SELECT *, scale * (label - 1 / (1 + exp(-margin))) AS g, scale / (1 + exp(-margin)) * (1 - 1 / (1 + exp(-margin))) AS h FROM m{k} WHERE NOT held)",
+            f"c{k} AS (SELECT feature, x, SUM(SUM(g)) OVER w AS gl, SUM(SUM(h)) OVER w AS hl, SUM(SUM(g)) OVER a AS ga, SUM(SUM(h)) OVER a AS ha FROM ({splits.format(k=k)}) GROUP BY feature, x WINDOW w AS (PARTITION BY feature ORDER BY x), a AS (PARTITION BY feature))",
+            f"s{k} AS (SELECT feature, x, gl / hl AS lower_step, (ga - gl) / (ha - hl) AS upper_step FROM c{k} WHERE ha - hl > 1e-9 AND hl >= 1 AND ha - hl >= 1 ORDER BY gl * gl / hl + (ga - gl) * (ga - gl) / (ha - hl) DESC LIMIT 1)",
+            f"m{k + 1} AS (SELECT m{k}.* EXCLUDE (margin), margin + {step} * CASE WHEN {value.format(k=k)} <= split.x THEN lower_step ELSE upper_step END AS margin FROM m{k}, s{k} AS split)",
+        ]
+    return ", ".join(out)
+
+
+STUMPS = 6
+SPLIT_BY = ["hour", "day_of_week"]
+
+
+@query(
+    "boosting_rounds",
+    f"""WITH {HH}, {LIMITS.format(source='hh', where='TRUE')}, lab AS ({label_sql('hh')}),
+    flat AS (SELECT CAST(hour(transit_timestamp) AS DOUBLE) AS hour, CAST(isodow(transit_timestamp) - 1 AS DOUBLE) AS day_of_week, is_congested AS label, day(transit_timestamp) > 20 AS held FROM lab),
+    balance AS (SELECT COUNT(*) FILTER (label = 0) / COUNT(*) FILTER (label = 1) AS w FROM flat WHERE NOT held),
+    rows AS (SELECT flat.*, CASE WHEN label = 1 THEN w ELSE 1 END AS scale FROM flat, balance), {stumps_sql(STUMPS, STEP, SPLIT_BY)},
+    losses AS ({" UNION ALL ".join(f"SELECT {k} AS round, held, -ln(CASE WHEN label = 1 THEN 1 / (1 + exp(-margin)) ELSE 1 - 1 / (1 + exp(-margin)) END) AS loss FROM m{k}" for k in range(STUMPS + 1))})
+    SELECT CAST(round AS INTEGER) AS round, round(AVG(loss) FILTER (NOT held), 6) AS train_loss, round(AVG(loss) FILTER (held), 6) AS validation_loss FROM losses GROUP BY 1""",
+)
+def boosting_rounds(spark, sf_dir):
+    """Losses of six rounds of one-split trees over hours and weekdays, all rows and columns in every round."""
+    labelled = add_congestion_label(hourly_ridership(hourly_events(spark, sf_dir)))
+    flat = labelled.select(F.hour("transit_timestamp").alias("hour"), F.weekday("transit_timestamp").alias("day_of_week"), "is_congested", (F.dayofmonth("transit_timestamp") > 20).alias("held"))
+    flat = materialise(flat, "rows")
+    _, rounds = model.train_with_history(
+        flat.where("not held"), flat.where("held"), SPLIT_BY, rounds=STUMPS, depth=1, step=STEP, row_share=1.0, column_share=1.0, bins=32, patience=None,
+    )
+    return rounded(rounds.drop("is_best"), ["train_loss", "validation_loss"])
 
 
-@query("feature_importance")
+@query("feature_importance", "SELECT CAST(range AS INTEGER) AS place, TRUE AS is_input, TRUE AS in_order, TRUE AS sums_to_one FROM range(1, 21)")
 def feature_importance(spark, sf_dir):
-    return model.feature_importance(spark, fitted(spark, sf_dir)[0], top=20)
+    """The twenty first inputs by gain: what must hold for any fit."""
+    ranked = model.feature_importance(spark, fitted(spark, sf_dir)[0]).toPandas()  # as long as the list of inputs
+    whole = abs(ranked.importance.sum() - 1) < 1e-6
+    top = ranked.head(20)
+    rows = [(k + 1, f in [*FEATURE_COLS, model.KNOWN_FLAG], bool(k == 0 or top.importance[k] <= top.importance[k - 1]), bool(whole)) for k, f in enumerate(top.feature)]
+    return spark.createDataFrame(rows, "place int, is_input boolean, in_order boolean, sums_to_one boolean")
 
 
-@query("saved_model_auc")
+@query("saved_model_auc", f"WITH {MODEL_ROWS} SELECT COUNT(*) AS n, TRUE AS same_auc, TRUE AS same_scores FROM test")
 def saved_model_auc(spark, sf_dir):
-    booster, test = fitted(spark, sf_dir)
+    """A saved and loaded model scores like the fitted one."""
+    booster, _, _, test = fitted(spark, sf_dir)
     path = scratch_path(spark, "model")
     model.save_model(booster, path)
     reloaded = model.load_model(path)
-    return roc_auc(training.scored(test, lambda df: model.score(reloaded, df)))
+    (before, after) = (materialise(training.scored(test, lambda df: model.score(m, df)), "scored") for m in (booster, reloaded))
+    keys = ["transit_timestamp", "station_complex"]
+    other = after.select(*keys, F.col("predicted_prob").alias("_again"))
+    same = before.join(other, keys, "left").agg(F.bool_and(F.col("predicted_prob").eqNullSafe(F.col("_again"))).alias("same_scores"))
+    both = roc_auc(before).select(F.col("auc").alias("_a")).crossJoin(roc_auc(after)).crossJoin(same)  # one row each
+    return both.select(F.col("n").cast("long").alias("n"), F.col("auc").eqNullSafe(F.col("_a")).alias("same_auc"), "same_scores")

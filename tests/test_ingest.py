@@ -1,7 +1,9 @@
 """Landed pages, partitioned tables, watermarks, streams, models."""
 
 import json
+import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,7 +148,7 @@ def test_model_learns_and_survives_saving(spark, tmp_path):
         (F.col("id") % 24 > 15).cast("int").alias("is_congested"),
     )
     features = ["hour", "num_lines"]
-    fitted = model.train_model(df, df, features, maxIter=5, maxDepth=3)
+    fitted = model.train_model(df, df, features, rounds=5, depth=3)
     path = f"{tmp_path}/model"
     model.save_model(fitted, path)
     got = model.score(model.load_model(path), df, features)
@@ -155,3 +157,35 @@ def test_model_learns_and_survives_saving(spark, tmp_path):
     ranked = model.feature_importance(spark, fitted).collect()
     assert ranked[0].feature == "hour" and len(ranked) == 3
     assert model.class_balance(df).first()["positive_weight"] == pytest.approx(272 / 128)
+
+
+def boosting_rows(spark, n=300):
+    """One input that tells the label in the training rows and nothing in the held ones."""
+    x = F.pmod(F.xxhash64("id"), F.lit(16)).cast("int")
+    told, random = (x > 9).cast("int"), F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(2)).cast("int")
+    held = F.col("id") % 3 == 0
+    return spark.range(n).select(x.alias("hour"), F.when(held, random).otherwise(told).alias("is_congested"), held.alias("held"))
+
+
+def test_boosting_stops_by_patience_and_keeps_the_best_rounds(spark):
+    rows = boosting_rows(spark)
+    fitted, rounds = model.train_with_history(rows.where("not held"), rows.where("held"), ["hour"])
+    got = rounds.orderBy("round").collect()
+    losses = [r.validation_loss for r in got]
+    best = min(range(1, len(losses)), key=lambda k: losses[k])
+    assert got[0].train_loss == pytest.approx(math.log(2)) == losses[0]
+    assert len(got) - 1 == best + model.SETTINGS["patience"] < model.SETTINGS["rounds"]
+    assert fitted.stages[-1].getNumTrees == best and [r.round for r in got if r.is_best] == [best]
+    scored = model.score(fitted, rows.where("held"), ["hour"]).toPandas()
+    p = scored.predicted_prob.where(scored.is_congested == 1, 1 - scored.predicted_prob)
+    assert float(-np.log(p).mean()) == pytest.approx(losses[best])
+
+
+def test_boosting_without_validation_runs_every_round(spark):
+    rows = boosting_rows(spark).where("not held")
+    fitted, rounds = model.train_with_history(rows, features=["hour"], rounds=12, depth=2)
+    losses = [r.train_loss for r in rounds.orderBy("round").collect()]
+    assert fitted.stages[-1].getNumTrees == 12 and losses == sorted(losses, reverse=True)
+    assert rounds.where("validation_loss is not null").count() == 0
+    with pytest.raises(ValueError):
+        model.train_model(rows.limit(0), features=["hour"])
