@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stationflow.functions import holidays
-from stationflow.functions.timeparts import cycle, dow_monday0
+from stationflow.functions.timeparts import cycle, dow_monday0, month_floor
 from stationflow.operators.ordered import CHUNK_ROWS, in_chunks
 from stationflow.schema import LAG_FEATURES, RIDERSHIP, STATION, TS, WEEKDAY_FLAGS
 
@@ -43,18 +43,20 @@ def add_lag_features(
     """Earlier values and rolling statistics per station, counted in rows.
 
     The current row is not part of its own rolling windows; a window needs half
-    its rows. `reset_by="month"` starts each station anew every calendar month.
+    its rows. `reset_by="month"` starts each station anew every calendar month, the name of a column
+    with each of its values (of which each has few rows a station).
     All features share one sort. Continuous series are worked on in overlapping
     chunks, so a long series is spread over tasks; `chunk_rows=None` turns that
     off where every series is known to be short.
     """
-    if reset_by not in (None, "month"):
-        raise ValueError("reset_by is None or 'month'")
+    if reset_by not in (None, "month", *df.columns):
+        raise ValueError("reset_by is None, 'month' or a column")
     given = df.columns
     reach = max([*lags, *mean_windows, *std_windows])
-    if reset_by == "month":
+    if reset_by is not None:
         # a month of hours is at most 744 rows per station
-        series = Window.partitionBy(station_col, F.trunc(F.col(ts).cast("date"), "month")).orderBy(ts)
+        part = month_floor(F.col(ts)) if reset_by == "month" else F.col(reset_by)
+        series = Window.partitionBy(station_col, part).orderBy(ts)
         work, keep = df, None
     elif chunk_rows is None:
         series = Window.partitionBy(station_col).orderBy(ts)

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from stationflow.functions import holidays
 from stationflow.operators.features import add_holiday_features, add_lag_features, add_time_features, drop_incomplete
-from stationflow.operators.labels import add_congestion_label, congestion_thresholds
+from stationflow.operators.labels import add_congestion_label, congestion_thresholds, following_rows, label_marked, mark_ahead
 from stationflow.operators.ordered import number_rows
 from stationflow.schema import TIME_FEATURES
+from stationflow.session import materialise
 
 
 def series(name, values, start="2024-01-01T00:00:00", step=1):
@@ -73,6 +74,37 @@ def test_label_crosses_the_rows_dropped_between_months(spark, hours):
     assert by_time(df, "ridership", "is_congested") == [(1.0, 1), (1.0, 1), (7.0, 0), (8.0, 0)]
 
 
+@pytest.mark.parametrize("horizon,tail", [(1, "zero"), (2, "zero"), (5, "drop")])
+def test_label_over_sparse_months_equals_a_plain_window(spark, hours, horizon, tail):
+    """Months with fewer rows than the horizon, and empty ones, between full ones."""
+    rng = np.random.default_rng(horizon)
+    rows = []
+    for name in "ABC":
+        for month, n in enumerate(rng.choice([0, 1, 1, 2, 3, 9], 14)):
+            at = sorted(rng.choice(28 * 24, n, replace=False))
+            rows += [(name, (pd.Timestamp(2023 + month // 12, month % 12 + 1, 1) + pd.Timedelta(hours=int(h))).isoformat(), None if rng.random() < 0.1 else float(rng.integers(9))) for h in at]
+    df = hours(rows).withColumn("extra", F.lit("x"))
+    limits = spark.createDataFrame([("A", 4.0), ("B", 7.0)], "station_complex string, threshold double")
+    got = by_time(add_congestion_label(df, thresholds=limits, horizon=horizon, tail=tail), "station_complex", "ridership", "extra", "is_congested")
+    plain = by_time(add_congestion_label(df, thresholds=limits, horizon=horizon, tail=tail, chunk_rows=1000), "station_complex", "ridership", "extra", "is_congested")
+    assert got == plain and len(got) > 50
+
+
+def test_labels_of_marked_rows_shuffle_no_features(hours, tmp_path):
+    monthly = hours(series("A", range(800))).withColumn("m", F.trunc(F.col("transit_timestamp").cast("date"), "month"))
+    df = add_lag_features(monthly, reset_by="m", lags=(1,), mean_windows=(2,), std_windows=(2,))
+    path = f"{tmp_path}/features"
+    marked = mark_ahead(drop_incomplete(df, ["lag_1"]), 2, month="m")
+    assert marked._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1  # that of the lags
+    marked.write.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    limits = materialise(congestion_thresholds(stored), "thresholds")
+    plan = label_marked(stored, limits, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    heads = following_rows(stored, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in heads and "lag_1" not in heads
+
+
 @pytest.mark.parametrize("chunk_rows", [None, 170, 1000])
 def test_lag_features_equal_pandas(spark, hours, chunk_rows):
     rng = np.random.default_rng(3)
