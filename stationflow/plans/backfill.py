@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationflow.schema import PARTITION_COLS, TS
-from stationflow.session import materialise
+from stationflow.session import materialise, scratch_path
 from stationflow.sources.facts import partition_keys
 from stationflow.sources.landed import newer_than
 from stationflow.sources.sinks import append_months, get_watermark, newest_in_batch, replace_months, set_watermark
@@ -32,23 +32,44 @@ def month_counts(ridership: DataFrame) -> DataFrame:
     return ridership.groupBy(*PARTITION_COLS).agg(F.count(F.lit(1)).alias("n"))
 
 
-def incomplete_months(plan: DataFrame, stored: DataFrame | None, min_rows: int = COMPLETE_MONTH_ROWS) -> DataFrame:
-    """Planned months that are missing or too small."""
-    if stored is None:
+def footer_scan(spark: SparkSession, root: str) -> DataFrame:
+    """A plain year/month table in a session of its own, whose scans take counts per partition from the Parquet footers.
+
+    Only the newer Parquet reader does so; the caller's session keeps its reader.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.schema(f"{TS} timestamp_ntz, year int, month int").parquet(root)
+
+
+def month_counts_from_footers(spark: SparkSession, root: str) -> DataFrame:
+    """Rows per stored month of a plain year/month table; no row is read."""
+    counts = month_counts(footer_scan(spark, root))
+    path = scratch_path(spark, "counts")
+    counts.write.parquet(path)
+    return spark.read.schema(counts.schema).parquet(path)
+
+
+def incomplete_months(
+    plan: DataFrame, stored: DataFrame | None, min_rows: int = COMPLETE_MONTH_ROWS, counts: DataFrame | None = None,
+) -> DataFrame:
+    """Planned months that are missing or too small. `counts` (year, month, n) spares counting `stored`."""
+    if stored is None and counts is None:
         return plan.withColumn("n", F.lit(0).cast("long"))
-    joined = plan.join(month_counts(stored), PARTITION_COLS, "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    joined = plan.join(month_counts(stored) if counts is None else counts, PARTITION_COLS, "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return joined.where(F.col("n") < min_rows).select("start", "end", *PARTITION_COLS, "n")
 
 
 def backfill(
     cleaned: DataFrame, stored: DataFrame | None, root: str, first_year: int, last_year: int,
-    min_rows: int = COMPLETE_MONTH_ROWS,
+    min_rows: int = COMPLETE_MONTH_ROWS, counts: DataFrame | None = None,
 ) -> None:
     """Load every incomplete month from the landed rows in one job, replacing it.
 
     The list of months is settled, and written, before the table changes.
     """
-    todo = incomplete_months(month_plan(cleaned.sparkSession, first_year, last_year), stored, min_rows)
+    todo = incomplete_months(month_plan(cleaned.sparkSession, first_year, last_year), stored, min_rows, counts)
     todo = materialise(todo, "months")
     rows = partition_keys(cleaned).join(todo.select(*PARTITION_COLS), PARTITION_COLS, "left_semi")
     replace_months(rows.drop(*PARTITION_COLS), root)

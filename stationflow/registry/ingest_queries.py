@@ -21,7 +21,7 @@ from stationflow.registry.base import query, rounded
 from stationflow.registry.feature_queries import LIMITS, event_stations, label_sql
 from stationflow.schema import FEATURE_COLS
 from stationflow.session import materialise, scratch_path
-from stationflow.sources import facts, landed, sinks
+from stationflow.sources import commits, facts, intake, landed, sinks
 from stationflow.streaming import ingest, rollup
 
 AS_STORED = """SELECT transit_timestamp, station_complex_id, station_complex, borough, payment_method,
@@ -135,16 +135,61 @@ def incomplete_months(spark, sf_dir):
     return backfill.incomplete_months(backfill.month_plan(spark, *order_years(spark, sf_dir)), stored, min_rows=185)
 
 
-@query("backfill", f"WITH {D} {AS_STORED.format(source='d', rest=ORDER_REST)} WHERE year(transit_timestamp) BETWEEN 1996 AND 1998")
+@query(
+    "backfill",
+    f"""WITH {D}, m AS (SELECT *, COUNT(*) OVER (PARTITION BY year(transit_timestamp), month(transit_timestamp)) >= 185 AND year(transit_timestamp) = 1997 AS kept FROM d),
+    r AS (SELECT * REPLACE (CAST(CASE WHEN kept THEN 2 * ridership ELSE ridership END AS DECIMAL(18,2)) AS ridership) FROM m)
+    {AS_STORED.format(source='r', rest=ORDER_REST)} WHERE year(transit_timestamp) BETWEEN 1996 AND 1998""",
+)
 def run_backfill(spark, sf_dir):
-    """Half of one month is stored; the backfill completes all three years."""
+    """1997 is stored with doubled values; its months of 185 rows or more are taken for complete and keep them, the others are loaded."""
     root = scratch_path(spark, "fact")
     rows = landed.clean(as_landed(orders_view(spark, sf_dir)))
-    sinks.replace_months(facts.select_range(rows, start="1996-02-01", end="1996-02-15"), root)
-    backfill.backfill(rows, facts.read_ridership(spark, root), root, 1996, 1998, min_rows=1_000_000_000)
+    sinks.replace_months(facts.select_range(rows, start="1997-01-01", end="1998-01-01").withColumn("ridership", F.col("ridership") * 2), root)
+    backfill.backfill(rows, None, root, 1996, 1998, min_rows=185, counts=backfill.month_counts_from_footers(spark, root))
     return facts.read_ridership(spark, root)
 
 
+STORED = "transit_timestamp timestamp_ntz, station_complex_id string, station_complex string, borough string, payment_method string, ridership decimal(18,2)"
+
+
+@query(
+    "write_and_mark",
+    f"""WITH {D}, w AS (SELECT *, year(transit_timestamp) = 1997 AND month(transit_timestamp) = 5 AS again FROM d WHERE year(transit_timestamp) < 1999),
+    c AS (SELECT COUNT(*) AS n, CAST(SUM(CASE WHEN again THEN 2 * ridership ELSE ridership END) AS DOUBLE) AS ridership,
+      strftime(MAX(transit_timestamp), '%Y-%m-%dT%H:%M:%S') AS watermark FROM w)
+    SELECT * FROM c""",
+)
+def write_and_mark(spark, sf_dir):
+    """Rows up to 1998 and their mark, one month replaced, and a later write that died before it was published."""
+    root = scratch_path(spark, "table")
+    rows = orders_view(spark, sf_dir)
+    mark = commits.commit_months(rows.where(F.year("transit_timestamp") < 1999), root, "first")
+    month = rows.where((F.year("transit_timestamp") == 1997) & (F.month("transit_timestamp") == 5))
+    commits.commit_months(month.withColumn("ridership", (F.col("ridership") * 2).cast("decimal(18,2)")), root, "again")
+    commits.stage(rows.where(F.year("transit_timestamp") >= 1998), root, "died")
+    assert mark == commits.newest_mark(spark, root)
+    stored = commits.read_committed(spark, root, STORED)
+    return stored.agg(F.count("*").alias("n"), F.sum("ridership").cast("double").alias("ridership"), F.lit(commits.newest_mark(spark, root)).alias("watermark"))
+
+
+@query(
+    "compacted_months",
+    f"""WITH {D} SELECT CAST(year(transit_timestamp) AS INTEGER) AS year, CAST(month(transit_timestamp) AS INTEGER) AS month, COUNT(*) AS n, CAST(SUM(ridership) AS DOUBLE) AS ridership,
+    CAST(1 AS INTEGER) AS versions, COUNT(*) AS counted FROM d GROUP BY 1, 2""",
+)
+def compacted_months(spark, sf_dir):
+    """Four batches appended to every month, then one compaction; `counted` comes from the log."""
+    root = scratch_path(spark, "table")
+    rows = orders_view(spark, sf_dir)
+    for k in range(4):
+        commits.commit_months(rows.where(F.hour("transit_timestamp") % 4 == k), root, f"batch-{k}", replace=False)
+    commits.compact_months(spark, root, STORED, "compact")
+    sums = commits.read_committed(spark, root, STORED).groupBy("year", "month").agg(F.count("*").alias("n"), F.sum("ridership").cast("double").alias("ridership"))
+    live = commits.live_versions(spark, root).select("year", "month", F.size("versions").alias("versions"))
+    return sums.join(live, ["year", "month"]).join(commits.month_rows(spark, root).withColumnRenamed("n", "counted"), ["year", "month"])
+
+
 @query(
     "incremental_since",
     f"""WITH {D} SELECT CAST(year(transit_timestamp) AS INTEGER) AS year, CAST(month(transit_timestamp) AS INTEGER) AS month, COUNT(*) AS n,
@@ -152,18 +197,19 @@ def run_backfill(spark, sf_dir):
     FROM d WHERE transit_timestamp >= '1996-01-01' GROUP BY 1, 2""",
 )
 def incremental_since(spark, sf_dir):
-    """Three runs: the first up to a date, then the rest, then nothing new."""
-    root, control = scratch_path(spark, "fact"), scratch_path(spark, "control")
-    pages = land(orders_view(spark, sf_dir), scratch_path(spark, "pages"))
-    rows = landed.clean(landed.read_landed(spark, pages, lines=True))
-    early = facts.select_range(rows, end="1999-01-01")
-    for feed in (early, rows, rows):
-        backfill.ingest_increment(feed, root, control, start="1996-01-01")
-    stored = facts.read_ridership(spark, root)
+    """Pages landed in two steps, taken in after each and once more: every run parses new files only."""
+    pages, root = scratch_path(spark, "pages"), scratch_path(spark, "table")
+    rows = as_landed(orders_view(spark, sf_dir))
+    early = F.col("transit_timestamp") < "1999"
+    for part in (rows.where(early), rows.where(~early), None):
+        if part is not None:
+            part.write.mode("append").json(pages)
+        intake.take_in(spark, pages, root, start="1996-01-01", lines=True)
+    stored = commits.read_committed(spark, root, intake.taken_schema())
     counted = stored.groupBy("year", "month").agg(
         F.count("*").alias("n"), F.sum(F.col("ridership").cast("decimal(18,2)")).cast("double").alias("ridership")
     )
-    return counted.withColumn("watermark", F.lit(sinks.get_watermark(spark, control)))
+    return counted.withColumn("watermark", F.lit(commits.newest_mark(spark, root)))
 
 
 # --- streams -------------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from stationflow.schema import BATCH_COL, PARTITION_COLS, TS
 from stationflow.sources.facts import partition_keys
 
 
-def _balanced(df: DataFrame) -> DataFrame:
+def balanced(df: DataFrame) -> DataFrame:
     """Ask for even output files per month: small months are merged into one
     file, a month with a large share of the rows is split over many tasks."""
     return df.hint("rebalance", *PARTITION_COLS)
@@ -20,7 +20,7 @@ def replace_months(df: DataFrame, root: str) -> None:
     """Write year/month partitions; each month in `df` is replaced, others stay.
     An empty frame writes nothing."""
     (
-        _balanced(partition_keys(df))
+        balanced(partition_keys(df))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION_COLS)
@@ -37,10 +37,10 @@ def append_months(df: DataFrame, root: str, batch: str | None = None) -> None:
     """
     keyed = partition_keys(df)
     if batch is None:
-        _balanced(keyed).write.mode("append").partitionBy(*PARTITION_COLS).parquet(root)
+        balanced(keyed).write.mode("append").partitionBy(*PARTITION_COLS).parquet(root)
         return
     (
-        _balanced(keyed.withColumn(BATCH_COL, F.lit(batch)))
+        balanced(keyed.withColumn(BATCH_COL, F.lit(batch)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION_COLS, BATCH_COL)
@@ -60,14 +60,6 @@ def newest_in_batch(spark: SparkSession, root: str, batch: str) -> str | None:
     return stored.agg(F.max(iso_text(F.col(TS)))).first()[0]
 
 
-def replace_months_and_mark(df: DataFrame, root: str, control: str) -> None:
-    """`replace_months`, then move the high-water mark to the newest row."""
-    replace_months(df, root)
-    latest = df.agg(F.max(iso_text(F.col(TS)))).first()[0]
-    if latest is not None:
-        set_watermark(df.sparkSession, control, latest)
-
-
 # --- high-water mark ---------------------------------------------------------------
 _CONTROL = "seq long, last_timestamp string"
 
