@@ -36,6 +36,7 @@ from stationflow.session import materialise
 BLOCK_BYTES = 4 << 20
 BUCKET_ROWS = 2048
 SEED_ROWS = 8192
+CLASSES = 64
 MARGIN = 1 + 1e-9
 
 
@@ -204,11 +205,17 @@ def _search_block(texts: DataFrame, queries: Queries, k: int, bucket_rows: int,
     index = materialise(ordered, "impacts")
     search = partial(_search, queries=queries, k=k, rows=bucket_rows, **numbers)
     schema = "query long, score long, doc_id long"
-    # The longest vectors first, for a floor that every task starts from.
-    longest = index.orderBy(F.desc("length")).limit(seed_rows)
+    # The longest vectors first, for a floor that every task starts from: all in the length classes that hold the first `seed_rows`.
+    classes = index.filter("length > 0").groupBy(F.floor(F.log2("length") * CLASSES).alias("class")).agg(F.count("*").alias("n"))
+    held, least = 0, 0.0
+    for c, n in sorted(classes.collect(), reverse=True):  # a class for each CLASSES-th of a doubling: at most some thousand
+        held, least = held + n, 2.0 ** (c / CLASSES)
+        if held >= seed_rows:
+            break
+    longest = index.filter(F.col("length") >= least / MARGIN)
     floors = np.zeros(len(queries.ids))
-    for q, n, least in _best(longest.mapInArrow(partial(search, floors=floors), schema), k).groupBy("query").agg(F.count("*"), F.min("score")).collect():  # one row a query of the block
-        floors[q] = least if n == k else 0
+    for q, n, score in _best(longest.mapInArrow(partial(search, floors=floors), schema), k).groupBy("query").agg(F.count("*"), F.min("score")).collect():  # one row a query of the block
+        floors[q] = score if n == k else 0
     return _best(index.mapInArrow(partial(search, floors=floors), schema), k)
 
 
