@@ -80,6 +80,31 @@ def add_lag_features(
     return out.select(*given, *features)
 
 
+def carried_rows(df: DataFrame, rows: int, station_col: str = STATION, ts: str = TS) -> DataFrame:
+    """The last `rows` rows of each station: what the lags of later rows can reach. Tasks hand on so many rows a station at most."""
+    place = F.row_number().over(Window.partitionBy(station_col).orderBy(F.desc(ts)))
+    return df.withColumn("_place", place).where(F.col("_place") <= rows).drop("_place")
+
+
+def continue_lag_features(
+    arrived: DataFrame, carried: DataFrame | None, station_col: str = STATION, ts: str = TS, value: str = RIDERSHIP,
+    lags: Sequence[int] = (1, 24, 168), mean_windows: Sequence[int] = (24, 168), std_windows: Sequence[int] = (24,),
+    chunk_rows: int | None = CHUNK_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """Lag features of rows that arrived after all others, and what to carry to the next ones.
+
+    `carried` (station, time, value) is what the last call returned, None on the first. The features are those of `add_lag_features` over the
+    whole history without a reset, from the arrived and the carried rows alone. A station that pauses keeps its rows.
+    """
+    narrow = [station_col, ts, value]
+    fresh = arrived.withColumn("_fresh", F.lit(True))
+    before = carried.select(*narrow, F.lit(False).alias("_fresh")) if carried is not None else None
+    both = fresh if before is None else fresh.unionByName(before, allowMissingColumns=True)
+    made = add_lag_features(both, station_col, ts, value, lags, mean_windows, std_windows, None, chunk_rows)
+    reach = max([*lags, *mean_windows, *std_windows])
+    return made.where("_fresh").drop("_fresh"), carried_rows(both.select(*narrow), reach, station_col, ts)
+
+
 def drop_incomplete(df: DataFrame, columns: Sequence[str] = tuple(LAG_FEATURES)) -> DataFrame:
     """Drop rows whose lag features are not all there yet."""
     return df.dropna(subset=list(columns))

@@ -127,6 +127,18 @@ def lag_features_short_chunks(spark, sf_dir):
     return rounded(features.add_lag_features(events_table(spark, sf_dir), chunk_rows=200), ROLLS)
 
 
+@query("lag_features_carried", f"WITH {HH} {H_LAGS}")
+def lag_features_carried(spark, sf_dir):
+    """The month in three instalments; each sees the one before it only through the carried rows."""
+    hourly, carried, parts = events_table(spark, sf_dir), None, []
+    for first, last in ((1, 10), (11, 20), (21, 31)):
+        arrived = hourly.where(F.dayofmonth("transit_timestamp").between(first, last))
+        made, carried = features.continue_lag_features(arrived, carried)
+        parts.append(materialise(made, "features"))
+        carried = materialise(carried, "carried")
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), ROLLS)
+
+
 @query("lag_features_monthly", f"WITH {DD} {lag_sql('dd', (1, 7, 28), (7, 28), (7,), MONTHLY, 4)}")
 def lag_features_monthly(spark, sf_dir):
     df = features.add_lag_features(orders_hourly(spark, sf_dir), reset_by="month", **SHORT)

@@ -78,6 +78,17 @@ def partitioned_scan(spark, sf_dir):
     return facts.select_range(facts.read_ridership(spark, root), start="1998-03-10", end="1999-02-01")
 
 
+@query(
+    "station_scan",
+    f"WITH {D} {AS_STORED.format(source='d', rest=ORDER_REST)} WHERE station_complex = 'NATION_7' AND transit_timestamp >= '1996-03-10' AND transit_timestamp < '1999-02-01'",
+)
+def station_scan(spark, sf_dir):
+    """One station over some years, from months laid out by station."""
+    root = scratch_path(spark, "fact")
+    sinks.replace_months(landed.clean(as_landed(orders_view(spark, sf_dir))), root, station_layout=True)
+    return facts.select_range(facts.read_ridership(spark, root), "NATION_7", "1996-03-10", "1999-02-01")
+
+
 @query(
     "replace_month",
     f"""WITH {D}, m AS (SELECT year(transit_timestamp) AS y, month(transit_timestamp) AS m, ridership FROM d)
@@ -231,11 +242,22 @@ def event_stream(spark, sf_dir) -> DataFrame:
     return events_view(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"))
 
 
+@query("stream_hourly", f"WITH {HH} SELECT * FROM hh")
+def stream_hourly(spark, sf_dir):
+    """Records dealt over four files by a hash, so that hours come in parts and out of order, a micro-batch for each file."""
+    landing, root, checkpoint = (scratch_path(spark, x) for x in ("events", "table", "checkpoint"))
+    events = table(spark, sf_dir, "events")
+    events.repartition(4, F.xxhash64("event_id")).write.parquet(landing)
+    stream = events_view(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing))
+    rollup.start_hourly_upserts(stream, root, checkpoint).awaitTermination()
+    return rollup.hourly_table(stream, root)
+
+
 @query(
-    "stream_hourly",
+    "stream_hourly_final",
     f"WITH {HH} SELECT * FROM hh WHERE transit_timestamp + INTERVAL 3 HOUR <= (SELECT MAX(transit_timestamp) FROM h)",
 )
-def stream_hourly(spark, sf_dir):
+def stream_hourly_final(spark, sf_dir):
     """Hours that are final: those that ended two hours before the newest record."""
     path, checkpoint = scratch_path(spark, "hourly"), scratch_path(spark, "checkpoint")
     hourly = rollup.hourly_stream(event_stream(spark, sf_dir))

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationflow.functions.timeparts import iso_text
-from stationflow.schema import BATCH_COL, PARTITION_COLS, TS
+from stationflow.schema import BATCH_COL, PARTITION_COLS, STATION, TS
 from stationflow.sources.facts import partition_keys
 
 
@@ -16,12 +16,23 @@ def balanced(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", *PARTITION_COLS)
 
 
-def replace_months(df: DataFrame, root: str) -> None:
+def by_station(df: DataFrame) -> DataFrame:
+    """Months laid out by station: each task has a range of one month's stations in order, a busy station's rows are split by time."""
+    return df.repartitionByRange(*PARTITION_COLS, STATION, TS).sortWithinPartitions(*PARTITION_COLS, STATION, TS)
+
+
+def replace_months(df: DataFrame, root: str, station_layout: bool = False) -> None:
     """Write year/month partitions; each month in `df` is replaced, others stay.
-    An empty frame writes nothing."""
+    An empty frame writes nothing.
+
+    With `station_layout` rows are in order of station inside a month, and row groups carry a Bloom filter over the
+    station: a scan for one station passes over the row groups of others, and with a range over those of other times.
+    """
+    keyed = partition_keys(df)
     (
-        balanced(partition_keys(df))
+        (by_station(keyed) if station_layout else balanced(keyed))
         .write.mode("overwrite")
+        .option(f"parquet.bloom.filter.enabled#{STATION}", str(station_layout).lower())
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION_COLS)
         .parquet(root)

@@ -6,8 +6,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from stationflow.operators.features import add_lag_features, continue_lag_features
 from stationflow.plans import backfill
+from stationflow.session import materialise
 from stationflow.sources import commits, intake, sinks
+from stationflow.streaming import rollup
 
 SCHEMA = "transit_timestamp timestamp_ntz, station_complex string, ridership double"
 
@@ -137,3 +140,67 @@ def test_counts_come_from_footers(spark, tmp_path):
     missing = backfill.incomplete_months(backfill.month_plan(spark, 2024, 2024), None, 2, counts)
     assert sorted(r.month for r in missing.collect()) == list(range(2, 13))
     assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
+# --- layout ------------------------------------------------------------------------------------
+def scanned(df):
+    """Rows that leave the Parquet scan: those of the row groups it could not pass over."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_station_layout_passes_over_other_stations(spark, tmp_path):
+    n = 40_000
+    stamp = F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, cast(id % 2600000 as int))")
+    df = spark.range(n).select(stamp.alias("transit_timestamp"), F.concat(F.lit("S"), F.pmod(F.xxhash64("id"), F.lit(50))).alias("station_complex"), F.lit(1.0).alias("ridership"))
+    found = {}
+    for layout in (False, True):
+        root = f"{tmp_path}/{layout}"
+        # small row groups, as months have many at full size
+        spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", "65536")
+        try:
+            sinks.replace_months(df, root, station_layout=layout)
+        finally:
+            spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+        stored = spark.read.schema(f"{SCHEMA}, year int, month int").parquet(root)
+        one = stored.where("station_complex = 'S7'")
+        found[layout] = (one.count(), scanned(one))
+    assert found[True][0] == found[False][0] > 500
+    assert found[True][1] < n / 5 < found[False][1]
+
+
+# --- streams and carried lags ------------------------------------------------------------------
+def test_upserted_hours_count_late_records_and_repeated_batches_once(spark, tmp_path):
+    source, root, checkpoint = (f"{tmp_path}/{x}" for x in ("in", "table", "check"))
+    batches = [[JAN, FEB], [("2024-01-05T00:40:00", "A", 10), ("2024-01-05T00:00:00", "B", 5)], [("2023-06-01T00:00:00", "A", 7)]]
+    for k, batch in enumerate(batches):
+        rows(spark, *batch).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(SCHEMA).parquet(source)
+        rollup.start_hourly_upserts(stream, root, checkpoint).awaitTermination()
+        if k == 1:  # the stream forgets that the batch was done, and repeats it
+            os.remove(f"{checkpoint}/commits/1")
+            crc = f"{checkpoint}/commits/.1.crc"
+            if os.path.exists(crc):
+                os.remove(crc)
+            rollup.start_hourly_upserts(stream, root, checkpoint).awaitTermination()
+    got = sorted((str(r.transit_timestamp)[:13], r.station_complex, r.ridership) for r in rollup.hourly_table(stream, root).collect())
+    assert got == [("2023-06-01 00", "A", 7.0), ("2024-01-05 00", "A", 11.0), ("2024-01-05 00", "B", 5.0), ("2024-02-05 00", "A", 2.0)]
+
+
+def test_carried_rows_give_the_lags_of_the_whole_history(spark):
+    values = [(f"2024-01-{1 + k // 4:02d}T{k % 4:02d}:00:00", s, (k * 7) % 11) for s in "AB" for k in range(60) if s == "A" or k % 3]
+    whole = rows(spark, *values)
+    brief = dict(lags=(1, 5), mean_windows=(4,), std_windows=(3,), chunk_rows=10)
+    plain = {(r.station_complex, r.transit_timestamp): r for r in add_lag_features(whole, **brief).collect()}
+    carried, seen = None, {}
+    for first, last in ((1, 1), (2, 6), (7, 7), (8, 15)):
+        part = whole.where(F.dayofmonth("transit_timestamp").between(first, last) & ((F.col("station_complex") == "A") | (F.lit(first) != 7)))
+        made, carried = continue_lag_features(part, carried, **brief)
+        carried = materialise(carried, "carried")
+        assert carried.groupBy("station_complex").count().agg(F.max("count")).first()[0] <= 5
+        seen |= {(r.station_complex, r.transit_timestamp): r for r in made.collect()}
+    missing = {k for k in plain if k[0] == "B" and k[1].day == 7}
+    assert set(seen) == set(plain) - missing
+    for key, r in seen.items():
+        if key[0] == "A":
+            assert r == plain[key]
