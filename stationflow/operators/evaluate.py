@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stationflow.operators.ordered import running_sum
 from stationflow.schema import RIDERSHIP, STATION, TARGET_COL, TS
+from stationflow.session import materialise
 
 SCORE, ACTUAL, PREDICTED = "predicted_prob", "actual", "predicted"
 
@@ -251,7 +252,8 @@ def calibration_curve(df: DataFrame, bins: int = 10) -> DataFrame:
 
 
 def score_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
-    """Counts per class in equal-width bins over that class's own score range."""
+    """Counts per class in equal-width bins over that class's own score range. The two columns are written once."""
+    df = materialise(df.select(ACTUAL, SCORE), "scores")
     edges = []
     for label in (0, 1):
         own = F.when(F.col(ACTUAL) == label, F.col(SCORE))
@@ -282,6 +284,21 @@ def score_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
     )
 
 
+def normalise_ridership(df: DataFrame, by: str = STATION, value: str = RIDERSHIP, name: str = "ridership_norm") -> DataFrame:
+    """`df` with `name`: every row's place between the least and largest `value` of its station, from 0 to just below 1.
+
+    A station with one value gets 0, a null value stays null. The ranges are a small table of their own, so no station is gathered.
+    """
+    ranges = df.groupBy(F.col(by).alias("_by")).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    joined = df.join(materialise(ranges, "ranges"), F.col(by).eqNullSafe(F.col("_by")), "left")
+    return joined.withColumn(name, (F.col(value) - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1e-6)).select(*df.columns, name)
+
+
+def auc_ranking(df: DataFrame, by: str) -> DataFrame:
+    """AUC and rows of each group with two classes, the lowest AUC first."""
+    return roc_auc(df.where(F.col(by).isNotNull()), [by]).orderBy("auc", by)
+
+
 def hourly_pattern(df: DataFrame) -> DataFrame:
     """Mean score beside mean normalised ridership per hour, the score rescaled to
     the range of the ridership, and the peak hour of each."""

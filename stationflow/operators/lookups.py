@@ -11,11 +11,11 @@ from stationflow.sources.facts import in_years, with_coordinates
 
 
 def lag_lookup(df: DataFrame, year: int = 2023) -> DataFrame:
-    """Mean hourly ridership per station, weekday (0 = Sunday) and hour: 168 cells a station."""
+    """Mean hourly ridership per station, weekday (0 = Sunday) and hour, in that order: 168 cells a station."""
     hourly = hourly_ridership(with_coordinates(in_years(df, year)))
     return hourly.groupBy(STATION, dow_sunday0(F.col(TS)).alias("dow"), F.hour(TS).alias("hour")).agg(
         F.avg(RIDERSHIP).alias("avg_ridership")
-    )
+    ).orderBy(STATION, "dow", "hour")
 
 
 def weekday_means(lookup: DataFrame) -> DataFrame:

@@ -87,7 +87,7 @@ def station_coordinates(df: DataFrame, years: tuple[int, ...] = (2023, 2024)) ->
 
 
 def average_day(df: DataFrame, year: int = 2025, weekdays: str = "tue_sat") -> DataFrame:
-    """Mean record per station and hour over one year's weekdays."""
+    """Mean record per station and hour over one year's weekdays, in that order."""
     return (
         with_coordinates(in_years(df, year))
         .where(weekday_only(F.col(TS), weekdays))
@@ -97,15 +97,17 @@ def average_day(df: DataFrame, year: int = 2025, weekdays: str = "tue_sat") -> D
             F.avg("latitude").alias("lat"),
             F.avg("longitude").alias("lon"),
         )
+        .orderBy(STATION, "hour")
     )
 
 
 def week_slice(df: DataFrame, start: str, end: str) -> DataFrame:
-    """Station-hours of a date range with their coordinates."""
+    """Station-hours of a date range with their coordinates, in order of time and station."""
     return (
         with_coordinates(select_range(df, None, start, end))
         .groupBy(STATION, TS)
         .agg(_total().alias(RIDERSHIP), F.avg("latitude").alias("lat"), F.avg("longitude").alias("lon"))
+        .orderBy(TS, STATION)
     )
 
 

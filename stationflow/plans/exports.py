@@ -11,6 +11,7 @@ from stationflow.operators.lookups import nested
 from stationflow.operators.rollups import average_day, normaliser, station_coordinates, week_slice
 from stationflow.operators.stations import all_lines, station_meta
 from stationflow.schema import RIDERSHIP, STATION, TARGET_COL, TS
+from stationflow.session import materialise
 from stationflow.sources.sinks import write_json
 
 
@@ -63,10 +64,15 @@ def map_details(records: DataFrame) -> DataFrame:
     )
 
 
+def export_map(stations: DataFrame, path: str) -> None:
+    """Write the records of `station_map` as JSON lines, missing values kept."""
+    write_json(stations, path)
+
+
 def animation_daily(ridership: DataFrame, year: int = 2025, weekdays: str = "tue_sat") -> DataFrame:
     """Average day per station and hour: `r` ridership per record, `n` relative
     to the 95th percentile of all cells (may exceed 1)."""
-    day = average_day(ridership, year, weekdays)
+    day = materialise(average_day(ridership, year, weekdays), "day")  # the quantile reads it again
     ceiling = normaliser(day).scalar()
     return day.withColumn("_ceiling", ceiling).select(
         STATION, "hour",
@@ -78,7 +84,7 @@ def animation_daily(ridership: DataFrame, year: int = 2025, weekdays: str = "tue
 
 def animation_week(ridership: DataFrame, year: int = 2025, start: str = "2025-10-06", end: str = "2025-10-13", weekdays: str = "tue_sat") -> DataFrame:
     """One week of station-hours on the same scale as the average day, at most 1."""
-    ceiling = normaliser(average_day(ridership, year, weekdays)).scalar()
+    ceiling = normaliser(materialise(average_day(ridership, year, weekdays), "day")).scalar()
     share = bands.safe_ratio(F.col(RIDERSHIP), F.col("_ceiling"))
     return week_slice(ridership, start, end).withColumn("_ceiling", ceiling).select(
         TS, STATION,

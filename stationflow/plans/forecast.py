@@ -63,11 +63,11 @@ def run_forecast(
     """Probability per station, date and hour.
 
     Stations without a threshold were not trained on and are left out. Names
-    are settled before any hour is laid out, on the list of stations alone.
+    are settled before any hour is laid out, on the list of stations alone; they are used twice and written once.
     """
-    known = thresholds.select(STATION)
+    known = materialise(thresholds.select(STATION), "known")
     trained = stations.join(known, STATION, "left_semi")
-    names = best_names(trained, known)
+    names = materialise(best_names(trained, known), "names")
     kept = trained.join(names, F.col(STATION) == F.col("_source"), "left_semi")
     scores = scorer(forecast_features(kept, lookup, start_date, days, calendar))
     return scores.join(names, F.col(STATION) == F.col("_source")).select(

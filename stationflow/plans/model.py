@@ -100,11 +100,6 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def save_table(df: DataFrame, path: str) -> None:
-    """Save thresholds, station features or a lag lookup for later runs."""
-    df.write.mode("overwrite").parquet(path)
-
-
 def load_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

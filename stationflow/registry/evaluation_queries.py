@@ -170,7 +170,16 @@ def auc_by_station(spark, sf_dir):
 )
 def auc_by_borough(spark, sf_dir):
     places = orders_view(spark, sf_dir).select("station_complex", "borough").distinct()
-    return rounded(evaluate.roc_auc(scored_orders(spark, sf_dir).join(places, "station_complex"), ["borough"]), AUC)
+    return rounded(evaluate.auc_ranking(scored_orders(spark, sf_dir).join(places, "station_complex"), "borough"), AUC)
+
+
+@query(
+    "normalised_ridership",
+    f"""WITH {HH} SELECT *, round((ridership - min(ridership) OVER w) / (max(ridership) OVER w - min(ridership) OVER w + 1e-6), 6) AS ridership_norm
+    FROM hh WINDOW w AS (PARTITION BY station_complex)""",
+)
+def normalised_ridership(spark, sf_dir):
+    return rounded(evaluate.normalise_ridership(events_table(spark, sf_dir)), ["ridership_norm"])
 
 
 BY_MONTH = auc_sql("s", "strftime(transit_timestamp, '%Y-%m')", "AND SUM(pos + neg) >= 150", "month_label")

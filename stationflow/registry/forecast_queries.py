@@ -9,7 +9,7 @@ from stationflow.functions.timeparts import hour_label
 from stationflow.operators import lookups
 from stationflow.operators.labels import congestion_thresholds
 from stationflow.operators.stations import merge_station_features
-from stationflow.plans import exports, forecast
+from stationflow.plans import artefacts, exports, forecast
 from stationflow.registry.adapters import H, HH, hourly_events
 from stationflow.registry.base import query, rounded, rounds
 from stationflow.registry.evaluation_queries import S, auc_sql, scored_events
@@ -18,7 +18,7 @@ from stationflow.registry.feature_queries import (
 )
 from stationflow.registry.rollup_queries import DAY
 from stationflow.schema import STATION_FEATURES
-from stationflow.session import materialise
+from stationflow.session import materialise, scratch_path
 
 START, DAYS = "2024-02-10", 21
 
@@ -99,6 +99,20 @@ def run_forecast(spark, sf_dir):
     return event_forecast(spark, sf_dir)
 
 
+@query("forecast_from_store", f"WITH {FORECAST} SELECT *, 'second' AS version FROM fc")
+def forecast_from_store(spark, sf_dir):
+    """Thresholds, station features and lookup published twice, with other values first; a forecast from the last version."""
+    root = scratch_path(spark, "artefacts")
+    tables = {"thresholds": congestion_thresholds(events_table(spark, sf_dir)), "stations": event_stations(spark, sf_dir), "lookup": event_lookup(spark, sf_dir)}
+    tables = {name: materialise(df, name) for name, df in tables.items()}
+    other = tables["lookup"].withColumn("avg_ridership", F.col("avg_ridership") * 2)
+    artefacts.publish(spark, root, "first", {**tables, "lookup": other})
+    artefacts.publish(spark, root, "second", tables)
+    found = artefacts.load(spark, root)
+    scorer = lambda df: df.withColumn("predicted_prob", F.col("lag_168") / (F.col("lag_168") + 50.0))
+    return artefacts.forecast_from(found, START, DAYS, scorer).withColumn("version", F.lit(found.version))
+
+
 @query("forecast_meta", f"WITH {FORECAST} SELECT DISTINCT station, borough, station_tier AS tier FROM fc JOIN st ON station = station_complex")
 def forecast_meta(spark, sf_dir):
     return forecast.forecast_meta(event_stations(spark, sf_dir), event_forecast(spark, sf_dir))
@@ -192,6 +206,14 @@ def map_export(spark, sf_dir):
     return event_map(spark, sf_dir)
 
 
+@query("map_written", f"{MAP} SELECT * FROM m")
+def map_written(spark, sf_dir):
+    """The exported map read back."""
+    path, records = scratch_path(spark, "map"), event_map(spark, sf_dir)
+    exports.export_map(records, path)
+    return spark.read.schema(records.schema).json(path)
+
+
 PERCENT = "concat(CAST(CAST(CAST({x} * 100 AS DECIMAL(18, 6)) AS DECIMAL(18, 1)) AS VARCHAR), '%')"
 CLAMP = "round(least(1.0, greatest(0.0, {x})), 6)"
 
@@ -220,6 +242,19 @@ def animation_daily(spark, sf_dir):
     return exports.animation_daily(hourly_events(spark, sf_dir), 2024)
 
 
+@query(
+    "animation_written",
+    f"""WITH {CEILING} SELECT station_complex, CAST(hour AS VARCHAR) AS hour, round_even(lat, 5) AS lat, round_even(lon, 5) AS lon,
+    round_even(avg_ridership, 1) AS r, round_even(CASE WHEN c > 0 THEN avg_ridership / c ELSE 0 END, 4) AS n FROM cells, ceil""",
+)
+def animation_written(spark, sf_dir):
+    """The nested average day of the exported animation, read back."""
+    path = scratch_path(spark, "animation")
+    exports.export_animation(hourly_events(spark, sf_dir), event_stations(spark, sf_dir), path, year=2024, start="2024-01-08", end="2024-01-15")
+    daily = spark.read.schema("station_complex string, lat double, lon double, hours map<string, struct<r: double, n: double>>").json(f"{path}/daily")
+    return daily.select("station_complex", "lat", "lon", F.explode("hours").alias("hour", "cell")).select("station_complex", "hour", "lat", "lon", "cell.r", "cell.n")
+
+
 @query(
     "animation_week",
     f"""WITH {CEILING}, w AS (SELECT transit_timestamp, station_complex, CAST(SUM(ridership) AS DOUBLE) AS x FROM h

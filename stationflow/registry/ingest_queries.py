@@ -78,6 +78,15 @@ def partitioned_scan(spark, sf_dir):
     return facts.select_range(facts.read_ridership(spark, root), start="1998-03-10", end="1999-02-01")
 
 
+@query("ridership_view", f"WITH {D} SELECT station_complex, COUNT(*) AS n, CAST(SUM(ridership) AS DOUBLE) AS ridership FROM d WHERE year(transit_timestamp) = 1997 GROUP BY 1")
+def ridership_view(spark, sf_dir):
+    """A stored table asked with SQL text."""
+    root = scratch_path(spark, "fact")
+    sinks.replace_months(landed.clean(as_landed(orders_view(spark, sf_dir))), root)
+    facts.register_ridership(spark, root, "ridership")
+    return spark.sql("SELECT station_complex, COUNT(*) AS n, CAST(SUM(CAST(ridership AS DECIMAL(18, 2))) AS DOUBLE) AS ridership FROM ridership WHERE year = 1997 GROUP BY station_complex")
+
+
 @query(
     "station_scan",
     f"WITH {D} {AS_STORED.format(source='d', rest=ORDER_REST)} WHERE station_complex = 'NATION_7' AND transit_timestamp >= '1996-03-10' AND transit_timestamp < '1999-02-01'",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stationflow.functions import bands, names
 from stationflow.functions.timeparts import hour_label, weekday_only
-from stationflow.operators import lookups, stations
+from stationflow.operators import evaluate, lookups, rollups, stations
 from stationflow.plans import exports, forecast
 from stationflow.schema import BOROUGH_FLAGS, FEATURE_COLS, STATION_FEATURES
 from stationflow.sources.sinks import write_json
@@ -190,3 +190,21 @@ def test_exports_are_json_lines(spark, small_forecast, hours, tmp_path):
     week = spark.read.json(f"{tmp_path}/animation/week").first()
     assert (week.r, week.n) == (40.0, 1.0)  # per hour, at most 1
     assert sorted(r.line for r in spark.read.json(f"{tmp_path}/animation/all_lines").collect()) == ["1", "2"]
+
+
+def test_results_come_in_their_order(spark):
+    rows = [(f"2024-01-{d:02d}T{h:02d}:00:00", s, float(h), 40.0, -73.0) for s in "BA" for d in (9, 8) for h in (5, 3)]
+    df = spark.createDataFrame(rows, "t string, station_complex string, ridership double, latitude double, longitude double").selectExpr(
+        "cast(t as timestamp_ntz) as transit_timestamp", "* except (t)")
+    day = [(r.station_complex, r.hour) for r in rollups.average_day(df, 2024).collect()]
+    week = [(r.transit_timestamp, r.station_complex) for r in rollups.week_slice(df, "2024-01-08", "2024-01-15").collect()]
+    lookup = [(r.station_complex, r.dow, r.hour) for r in lookups.lag_lookup(df, 2024).collect()]
+    for got, n in ((day, 4), (week, 8), (lookup, 8)):
+        assert got == sorted(got) and len(got) == n
+
+
+def test_normalised_rows(spark):
+    df = spark.createDataFrame([("A", 1.0), ("A", 3.0), ("A", None), ("B", 2.0), (None, 5.0), (None, 9.0)], "station_complex string, ridership double")
+    got = {(r.station_complex, r.ridership): r.ridership_norm for r in evaluate.normalise_ridership(df).collect()}
+    assert got[("A", 3.0)] == pytest.approx(1, abs=1e-6) and got[("A", 1.0)] == got[("B", 2.0)] == got[(None, 5.0)] == 0
+    assert got[("A", None)] is None and got[(None, 9.0)] == pytest.approx(1, abs=1e-6)
