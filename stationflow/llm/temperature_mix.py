@@ -1,8 +1,8 @@
 """Mixing sources to target weights by temperature.
 
-Token shares of the sources are raised to an exponent between 0 (all equal) and 1
-(as they are) and normalised. The exponent is bisected to meet a target entropy and,
-where a source would repeat too often, a repetition limit. The weights are
+Token shares of the sources are raised to an exponent and normalised: 0 makes all equal, 1
+leaves them as they are, more sharpens them. The exponent is bisected to meet a target entropy, on
+whichever side of 1 it lies, and drawn back towards 1 as far as a source would repeat too often. The weights are
 realised as block permutations within a token budget: a source's quota
 is filled with whole random permutations of its documents and a last one that is cut
 where the quota is met.
@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from stationflow.session import materialise
 
 STEPS, POINTS = 5, 31
+#: The sharpest exponent. Entropies below what it gives are not met.
+HIGHEST = 64.0
 SLICE_ROWS = 5000
 
 
@@ -23,8 +25,8 @@ def count_tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long")
 
 
-def _bisect(sources: DataFrame, low: float, high: float, met) -> float:
-    """The smallest exponent in [low, high] that `met` (an aggregate condition, false below and true above) accepts.
+def _bisect(sources: DataFrame, low: float, high: float, met) -> tuple[float, float]:
+    """A narrow pair of exponents in [low, high] around the place from which on `met` (an aggregate condition, false below and true above) holds.
 
     Every pass over the sources tries POINTS exponents at once, which is five halvings.
     """
@@ -33,16 +35,18 @@ def _bisect(sources: DataFrame, low: float, high: float, met) -> float:
         hits = sources.agg(*[met(F.lit(a)).alias(f"x{k}") for k, a in enumerate(tried)]).first()
         k = next((k for k, x in enumerate(hits) if x), POINTS)
         low, high = (tried[k - 1] if k else low), (tried[k] if k < POINTS else high)
-    return high
+    return low, high
 
 
 def temperature_weights(sources: DataFrame, entropy_share: float, repetition: float, budget: int | None = None) -> DataFrame:
-    """(source, tokens, weight, exponent, quota) of `sources` (source, tokens > 0).
-
-    The exponent is the smallest one (the flattest mix) whose entropy is at most
-    `entropy_share` times the logarithm of the number of sources and that repeats no source more than
-    `repetition` times within `budget` tokens (by default all there are). Neither can
-    be met below the natural shares: then the exponent is 1.
+    """(source, tokens, weight, exponent, entropy, quota) of `sources` (source, tokens > 0).
+
+    The exponent is the one whose mix has the entropy of
+    `entropy_share` times the logarithm of the number of sources: below 1 where the natural shares have less entropy, above 1 (up to
+    HIGHEST) where they have more. Where a source would repeat more than
+    `repetition` times within `budget` tokens (by default all there are), it is the nearest one on the way to 1 that
+    keeps the limit, or 1 where none does. `entropy` tells the share of the greatest entropy that the mix
+    reached; with one source, or sources of equal size, every exponent gives the same mix.
     """
     total, count = sources.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.count("*")).first()
     budget = int(total) if budget is None else budget
@@ -54,11 +58,15 @@ def temperature_weights(sources: DataFrame, entropy_share: float, repetition: fl
     target = F.lit(entropy_share) * F.log(F.lit(float(max(count, 1))))
     exponent = 1.0
     if count:
-        exponent = _bisect(shares, 0.0, 1.0, lambda a: entropy(a) <= target)
-        exponent = _bisect(shares, exponent, 1.0, lambda a: repeats(a) <= repetition)
-    scale = shares.agg(mass(F.lit(exponent))).first()[0] or 1.0
+        exponent = _bisect(shares, 0.0, HIGHEST, lambda a: entropy(a) <= target)[1]
+        if exponent <= 1:
+            exponent = _bisect(shares, exponent, 1.0, lambda a: repeats(a) <= repetition)[1]
+        else:
+            exponent = _bisect(shares, 1.0, exponent, lambda a: repeats(a) > repetition)[0]
+    scale, reached = shares.agg(mass(F.lit(exponent)), entropy(F.lit(exponent)) / F.log(F.lit(float(max(count, 1))))).first()
+    scale = scale or 1.0
     weight = power(F.lit(exponent)) / F.lit(float(scale))
-    return shares.select("source", "tokens", weight.alias("weight"), F.lit(exponent).alias("exponent"), F.floor(weight * F.lit(float(budget))).cast("long").alias("quota"))
+    return shares.select("source", "tokens", weight.alias("weight"), F.lit(exponent).alias("exponent"), F.lit(reached).cast("double").alias("entropy"), F.floor(weight * F.lit(float(budget))).cast("long").alias("quota"))
 
 
 def _order(epoch: Column, seed: int) -> Column:
@@ -96,7 +104,7 @@ def plan_mixture(docs: DataFrame, entropy_share: float, repetition: float, budge
     sources = materialise(sources, "sources")
     keyed = sources.select(F.struct("source", "unnamed").alias("source"), "tokens").filter("tokens > 0")
     weights = temperature_weights(keyed, entropy_share, repetition, budget)
-    weights = weights.select("source.source", "source.unnamed", "weight", "exponent", "quota")
+    weights = weights.select("source.source", "source.unnamed", "weight", "exponent", "entropy", "quota")
     sources = sources.join(weights, ["source", "unnamed"], "left").fillna({"weight": 0.0, "quota": 0})
     whole = F.when(F.col("tokens") > 0, F.floor(F.col("quota") / F.col("tokens"))).otherwise(0).cast("int")
     sources = sources.withColumn("whole", whole).withColumn("left", F.col("quota") - F.col("whole") * F.col("tokens"))
@@ -110,7 +118,7 @@ def plan_mixture(docs: DataFrame, entropy_share: float, repetition: float, budge
 
 
 def mixture_order(docs: DataFrame, entropy_share: float, repetition: float, budget: int | None = None, seed: int = 0) -> DataFrame:
-    """(doc_id, source, tokens, epoch, place, weight, exponent): every taken document with its place in its source's stream.
+    """(doc_id, source, tokens, epoch, place, weight, exponent, entropy): every taken document with its place in its source's stream.
 
     `epoch` counts the permutations of a source from 0; `place` numbers the documents within
     an epoch from 0. Within an epoch no document occurs twice. The tokens of a
@@ -121,8 +129,8 @@ def mixture_order(docs: DataFrame, entropy_share: float, repetition: float, budg
     taken = documents.filter((F.col("whole") > 0) | F.col("cut")).withColumn("epoch", F.explode(epochs))
     taken = taken.withColumn("place", F.xxhash64(F.lit(seed), "epoch", "doc_id", "digest", "copy"))
     ordered = _running(taken, ["source", "unnamed", "epoch"], F.lit(1))
-    told = ordered.join(sources.select("source", "unnamed", "weight", "exponent"), ["source", "unnamed"])
-    return told.select("doc_id", F.when(~F.col("unnamed"), F.col("source")).alias("source"), "tokens", "epoch", F.col("before").alias("place"), "weight", "exponent")
+    told = ordered.join(sources.select("source", "unnamed", "weight", "exponent", "entropy"), ["source", "unnamed"])
+    return told.select("doc_id", F.when(~F.col("unnamed"), F.col("source")).alias("source"), "tokens", "epoch", F.col("before").alias("place"), "weight", "exponent", "entropy")
 
 
 def mix_documents(docs: DataFrame, entropy_share: float, repetition: float, budget: int | None = None, seed: int = 0) -> DataFrame:

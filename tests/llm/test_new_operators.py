@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stationflow.llm import importance, ranked_search, secret_ledger
+from stationflow.llm import importance, ranked_search, secret_ledger, temperature_mix
 from stationflow.llm.terms import batch_terms
 from stationflow.session import scratch_path
 
@@ -194,3 +194,39 @@ def test_search_in_empty_tables(documents, spark):
     assert ranked_search.rank_documents(documents([]), items).count() == 0
     assert ranked_search.rank_documents(documents([(1, None)]), items).count() == 0
     assert ranked_search.rank_documents(documents([(1, "a")]), items.limit(0)).count() == 0
+
+
+# --- mixing ----------------------------------------------------------------------------------
+def mixture(tokens, a):
+    mass = [t**a for t in tokens]
+    weights = [m / sum(mass) for m in mass]
+    return weights, -sum(w * math.log(w) for w in weights) / math.log(len(tokens))
+
+
+@pytest.mark.parametrize("tokens,share,side", [([1000, 900, 850, 700], 0.9, "above"), ([5000, 100, 80, 60], 0.9, "below")])
+def test_exponent_meets_the_entropy_on_either_side_of_one(spark, tokens, share, side):
+    sources = spark.createDataFrame([(f"s{k}", t) for k, t in enumerate(tokens)], "source string, tokens long")
+    rows = sorted(temperature_mix.temperature_weights(sources, share, 1e9).collect(), key=lambda r: r.source)
+    weights, reached = mixture(tokens, rows[0].exponent)
+    assert (rows[0].exponent > 1) == (side == "above") and abs(reached - share) < 1e-3
+    assert rows[0].entropy == pytest.approx(reached) and [r.weight for r in rows] == pytest.approx(weights)
+    assert [r.quota for r in rows] == [math.floor(w * sum(tokens)) for w in (r.weight for r in rows)]
+
+
+@pytest.mark.parametrize("tokens,share", [([1000, 900, 850, 700], 0.5), ([5000, 100, 80, 60], 0.99)])
+def test_repetition_draws_the_exponent_back(spark, tokens, share):
+    sources = spark.createDataFrame([(f"s{k}", t) for k, t in enumerate(tokens)], "source string, tokens long")
+    rows = temperature_mix.temperature_weights(sources, share, 1.5).collect()
+    most = max(r.weight * sum(tokens) / r.tokens for r in rows)
+    assert most == pytest.approx(1.5, abs=1e-3) and rows[0].exponent != 1
+
+
+def test_query_repeats_one_source_and_cuts_another(spark):
+    from stationflow.llm.queries import op9_temperature_mix
+
+    sf_dir = "/root/testdata/sf0.01"
+    got = op9_temperature_mix(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs"), F.max("entropy").alias("entropy"))
+    whole = spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("source").agg(F.count("*").alias("all"))
+    rows = got.join(whole, "source").collect()
+    assert all(abs(r.entropy - 0.95) < 1e-3 for r in rows)
+    assert any(r.n > r.docs == r["all"] for r in rows) and any(r.n == r.docs < r["all"] for r in rows)
