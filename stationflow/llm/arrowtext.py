@@ -41,6 +41,17 @@ def bounded_batches(spark: SparkSession) -> None:
     context._stationflow_shipped = True
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Each name, with as many underscores before it as it takes to differ from all columns of `df`."""
+    used = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def give_back() -> None:
     """Return freed memory to the system, which a reused Python worker would hold otherwise."""
     pa.default_memory_pool().release_unused()

@@ -215,26 +215,53 @@ def test_languages_of_little_or_unspaced_training_text(spark):
     assert min(share.values()) > 0.98, share
 
 
+def greedy(text, train):
+    """Phrases and unseen bytes of a greedy parse by substring search."""
+    at = phrases = unseen = 0
+    while at < len(text):
+        k = 0
+        while at + k < len(text) and text[at : at + k + 1] in train:
+            k += 1
+        at, phrases, unseen = at + max(k, 1), phrases + (k > 0), unseen + (k == 0)
+    return phrases, unseen
+
+
 def test_phrases_equal_greedy_parse():
     rng = random.Random(2)
     import numpy as np
 
     train = "".join(rng.choices("abc ", k=300)).encode()
-    words = sorted({"".join(rng.choices("abcd ", k=rng.randint(1, 12))).encode() for _ in range(200)}, key=lambda w: (-len(w), w))
+    words = sorted({"".join(rng.choices("abcd ", k=rng.randint(1, 40))).encode() for _ in range(200)}, key=lambda w: (-len(w), w))
     data = np.frombuffer(b"".join(words), np.uint8)
     sizes = np.array([len(w) for w in words])
-    got = cross_parse.Automaton(train).phrases(data, np.cumsum(sizes) - sizes, sizes)
-    for w, n in zip(words, got, strict=True):
-        count, at = 0, 0
-        while at < len(w):
-            k = 1
-            while at + k < len(w) and w[at : at + k + 1] in train:
-                k += 1
-            at, count = at + k, count + 1
-        # An unseen byte that follows a phrase starts the next one.
-        assert abs(n - count) <= w.count(b"d")
-        if b"d" not in w:
-            assert n == count
+    phrases, unseen = cross_parse.Automaton(train).parse(data, np.cumsum(sizes) - sizes, sizes)
+    assert list(zip(phrases, unseen, strict=True)) == [greedy(w, train) for w in words]
+
+
+def test_languages_equal_brute_force(documents, spark):
+    import math
+
+    docs = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    models = cross_parse.learn(documents(docs[:60]), rows=8, model_bytes=3000)
+    texts = [t for _, t, _ in docs[60:110]] + [None, "Ünïcode 日本語 the", "x" * 5000, "the and " * 900]
+    want = []
+    for text in texts:
+        low = (text or "").lower().encode()
+        costs = []
+        for lang, train in models:
+            parts = [greedy(low[k : k + cross_parse.STRETCH], train) for k in range(0, len(low), cross_parse.STRETCH)]
+            costs.append((sum(p for p, _ in parts) * math.log2(len(train) + 2) + 9 * sum(u for _, u in parts), lang))
+        want.append(min(costs)[1] if any(c.isalpha() for c in text or "") else "und")
+    got = cross_parse.identify(documents([(k, t) for k, t in enumerate(texts)]), models).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in got] == want
+
+
+def test_texts_no_language_tells_better_than_bytes(documents):
+    models = cross_parse.learn(documents([(1, "the cat and the dog " * 200, "en"), (2, "der hund und die katze " * 200, "de")]))
+    rows = [(1, "the dog"), (2, "xqzj vvkpq wrrtz"), (3, "日本語"), (4, "die katze")]
+    told = lambda **kw: [r.lang_pred for r in cross_parse.identify(documents(rows), models, **kw).orderBy("doc_id").collect()]
+    assert told() == ["en", told()[1], "de", "de"]
+    assert told(most_bits=cross_parse.LITERAL_BITS) == ["en", "und", "und", "de"]
 
 
 def test_pieces_equal_the_library(spark, documents):
