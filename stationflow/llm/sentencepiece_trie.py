@@ -15,6 +15,7 @@ become byte pieces.
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -48,22 +49,30 @@ class Model:
 
 
 def merge(text: str, rank: dict[str, tuple[float, int]]) -> list[str]:
-    """BPE by repeated best merges, leftmost first among equals. Long runs of one merge go in one sweep."""
-    parts = list(text)
-    while True:
-        best = min((rank[a + b][0] for a, b in zip(parts, parts[1:], strict=False) if a + b in rank), default=None)
-        if best is None:
-            return parts
-        out, k, done = [], 0, False
-        while k < len(parts):
-            pair = parts[k] + parts[k + 1] if k + 1 < len(parts) else None
-            if not done and pair is not None and pair in rank and rank[pair][0] == best:
-                out.append(pair)
-                k, done = k + 2, True
-            else:
-                out.append(parts[k])
-                k += 1
-        parts = out
+    """BPE by repeated best merges, leftmost first among equals; a heap of neighbours finds the next one, so a run of n characters takes about n log n steps."""
+    parts: list[str] = list(text)
+    n = len(parts)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap: list[tuple[float, int, str]] = []
+
+    def offer(k: int) -> None:
+        if k >= 0 and after[k] < n and (pair := parts[k] + parts[after[k]]) in rank:
+            heapq.heappush(heap, (rank[pair][0], k, pair))
+
+    for k in range(n):
+        offer(k)
+    while heap:
+        _, k, pair = heapq.heappop(heap)
+        right = after[k] if parts[k] else n
+        if right == n or parts[k] + parts[right] != pair:
+            continue  # one of the two is merged already
+        parts[k], parts[right] = pair, ""
+        after[k] = after[right]
+        if after[k] < n:
+            before[after[k]] = k
+        offer(before[k])
+        offer(k)
+    return [p for p in parts if p]
 
 
 @lru_cache(maxsize=1)
