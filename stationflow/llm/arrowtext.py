@@ -41,17 +41,6 @@ def bounded_batches(spark: SparkSession) -> None:
     context._stationflow_shipped = True
 
 
-def free_names(df: DataFrame, *names: str) -> list[str]:
-    """Each name, with as many underscores before it as it takes to differ from all columns of `df`."""
-    used = {c.lower() for c in df.columns}
-    out = []
-    for name in names:
-        while name.lower() in used:
-            name = f"_{name}"
-        out.append(name)
-    return out
-
-
 def give_back() -> None:
     """Return freed memory to the system, which a reused Python worker would hold otherwise."""
     pa.default_memory_pool().release_unused()
@@ -77,7 +66,11 @@ def with_columns(df: DataFrame, fields: list[StructField], add: Callable[[pa.Rec
                 yield pa.RecordBatch.from_arrays([*batch.columns, *add(batch)], names=[*batch.schema.names, *[f.name for f in fields]])
                 give_back()
 
-    return kept.mapInArrow(grow, StructType([*kept.schema.fields, *fields]))
+    # Arrow stages do not take names with dots.
+    plain = [f"column {k}" if "." in c else c for k, c in enumerate(kept.columns)]
+    inner = kept.toDF(*plain)
+    grown = inner.mapInArrow(grow, StructType([*inner.schema.fields, *fields]))
+    return grown if plain == kept.columns else grown.toDF(*kept.columns, *[f.name for f in fields])
 
 
 def strings(column: pa.Array | pa.ChunkedArray) -> pa.Array:

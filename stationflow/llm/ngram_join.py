@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stationflow.llm.arrowtext import bounded_batches, buffers, chunks, mix, shingle_sets, strings
 from stationflow.llm.components import connected_components
+from stationflow.llm.names import free_names
 from stationflow.session import materialise
 
 BLOCK_ROWS = 256
@@ -370,13 +371,14 @@ def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, block_rows:
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """`docs` with one document of every class: the one with the smallest doc_id (rows without one come last).
 
-    Rows that share doc_id and text stay or go together; a document in no class stays.
+    Rows that share doc_id and text stay or go together; a document in no class stays. Columns may have any name and type.
     """
     rows = link_classes(docs, words, percent, keys={"_digest": F.xxhash64("text")}).filter("class_id is not null")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "_digest")
     first = rows.groupBy("class_id").agg(F.min(place).alias("first"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.min("_digest").alias("x"), F.max("_digest").alias("y"))
     several = first.filter("not (a <=> b) or x <> y or a is null").select("class_id", "first")  # classes of one document need no look at their rows
-    gone = rows.join(several, "class_id").filter(place != F.col("first")).select(F.col("doc_id").alias("_id"), "_digest").distinct()
-    gone = materialise(gone, "copies")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_digest"))
-    return docs.join(gone.hint("shuffle_hash"), same, "left_anti")
+    gone = rows.join(several, "class_id").filter(place != F.col("first")).select("doc_id", "_digest").distinct()
+    (helper,) = free_names(docs, "helper")
+    gone = materialise(gone, "copies").select(F.struct("doc_id", "_digest").alias(helper))
+    same = F.col("doc_id").eqNullSafe(F.col(f"{helper}.doc_id")) & (F.xxhash64("text") == F.col(f"{helper}._digest"))
+    return docs.join(gone, same, "left_anti")

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from stationflow.llm.names import free_names
 from stationflow.session import materialise
 
 STEPS, POINTS = 5, 31
@@ -134,26 +135,33 @@ def mixture_order(docs: DataFrame, entropy_share: float, repetition: float, budg
 
 
 def mix_documents(docs: DataFrame, entropy_share: float, repetition: float, budget: int | None = None, seed: int = 0) -> DataFrame:
-    """The rows of `docs` as often as the mixture takes them, with their columns."""
+    """The rows of `docs` as often as the mixture takes them, with their columns.
+
+    Rows that repeat doc_id, source and text are numbered by their other columns (maps compare as JSON), so a
+    repeated run gives each the same count. Columns may have any name and type.
+    """
     documents, _ = plan_mixture(docs, entropy_share, repetition, budget, seed)
-    times = (F.col("whole") + F.col("cut").cast("int")).alias("_times")
-    source = F.when(~F.col("unnamed"), F.col("source")).alias("_source")
+    helper, copy, again = free_names(docs, "helper", "copy", "again")
+    of = lambda name: F.col(f"{helper}.{name}")
+    times = (F.col("whole") + F.col("cut").cast("int")).alias("times")
+    source = F.when(~F.col("unnamed"), F.col("source")).alias("source")
     key = ["doc_id", "source", "unnamed", "digest"]
     repeated = documents.filter("copy > 1").select(*key).distinct()
-    taken = documents.select(*key, "copy", times).filter("_times > 0")
-    named = lambda df: df.select(F.col("doc_id").alias("_id"), source, F.col("digest").alias("_digest"), "copy", "_times")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.xxhash64("text") == F.col("_digest"))
+    taken = documents.select(*key, "copy", times).filter("times > 0")
+    named = lambda df, *more: df.select(F.struct("doc_id", source, "digest", *more).alias(helper))
+    same = F.col("doc_id").eqNullSafe(of("doc_id")) & F.col("source").eqNullSafe(of("source")) & (F.xxhash64("text") == of("digest"))
     columns = [f"`{c}`" for c in docs.columns]
-    again = F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_n")
+    times = F.explode(F.sequence(F.lit(1), of("times").cast("int"))).alias(again)
     if not repeated.limit(1).count():
-        return docs.join(named(taken).hint("shuffle_hash"), same).select(*columns, again).drop("_n")
+        return docs.join(named(taken, "times"), same).select(*columns, times).drop(again)
     # Rows that repeat id, source and text are numbered, and each number has its own count.
     match = [F.col(f"t.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
     twice = taken.alias("t").join(repeated.alias("r"), match, "left_semi")
-    once = named(taken.alias("t").join(repeated.alias("r"), match, "left_anti"))
-    whole = docs.join(once.hint("shuffle_hash"), same).select(*columns, again).drop("_n")
-    marked = docs.join(named(repeated.withColumns({"copy": F.lit(1), "_times": F.lit(0)})).drop("copy", "_times"), same)
-    number = F.row_number().over(Window.partitionBy("_id", "_source", "_digest").orderBy(F.lit(0)))
-    marked = marked.withColumn("_copy", number).select(*columns, "_copy")
-    rest = marked.join(named(twice), same & (F.col("_copy") == F.col("copy"))).select(*columns, again).drop("_n")
+    once = named(taken.alias("t").join(repeated.alias("r"), match, "left_anti"), "times")
+    whole = docs.join(once, same).select(*columns, times).drop(again)
+    flat = [f"`{c}`" for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    maps = [f"`{c}`" for c, kind in docs.dtypes if "map<" in kind or kind == "variant"]
+    number = F.row_number().over(Window.partitionBy(of("doc_id"), of("source"), of("digest")).orderBy(*flat, *([F.to_json(F.struct(*maps))] if maps else [])))
+    marked = docs.join(named(repeated), same).withColumn(copy, number).select(*columns, copy)
+    rest = marked.join(named(twice, "copy", "times"), same & (F.col(copy) == of("copy"))).select(*columns, times).drop(again)
     return whole.unionByName(rest)

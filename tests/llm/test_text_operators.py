@@ -331,3 +331,72 @@ def test_licenses(spark):
         ("a/b/y.py", "MIT", "MIT", None), ("d/z.py", None, "MIT", ""), ("d/e/COPYING", None, "MIT", ""), ("top.py", None, "MIT", ""), ("None", "GPL-3.0", "GPL-3.0", None), ("ab/w.py", None, "MIT", ""),
     ])
     assert license_scan.scan_licenses(files.limit(0)).count() == 0
+
+
+def clashing(documents, rows):
+    """Documents with columns named like every helper, a map and a name with a dot."""
+    extra = ["_id", "_digest", "_source", "_copy", "_n", "_times", "_first", "_rows", "_pred", "_score", "helper", "_helper", "row", "copy", "again", "keep_id", "digest", "n", "times", "pred", "class_id"]
+    df = documents(rows).withColumns({c: F.lit(k) for k, c in enumerate(extra)})
+    return df.withColumn("map", F.create_map(F.lit("k"), F.col("doc_id"))).withColumn("a.b", F.lit(1))
+
+
+def test_stages_with_clashing_columns(spark, documents):
+    import corpus_pipeline
+
+    text = " ".join(f"word{chr(97 + k % 26)}{chr(97 + k // 26)} the" for k in range(60))
+    rows = [(1, text, "en", "web"), (2, text, "en", "web"), (2, text, "en", "web"), (3, text + " more", "en", "web"), (4, "the other words here", "en", "books"), (4, "the other words here", "en", "books"), (5, None, None, None), (6, "", "en", None), (None, "the words that have no id", "en", "web")]
+    rows += [(k, f"the {chr(97 + k % 26)}word and text {text[: 30 + k]}", "en", "web") for k in range(10, 40)]
+    for df in (clashing(documents, rows), clashing(documents, [])):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            got = stage(spark, df, SMALL)
+            assert got.columns == df.columns, name
+            found = got.collect()
+            assert len(found) <= 2 * df.count()
+        assert corpus_pipeline.STAGES[-1][1](spark, df, SMALL).count() == df.count()
+    kept = exact_dedup.drop_duplicates(clashing(documents, rows), 3)
+    assert sorted(str(r.doc_id) for r in kept.collect())[:6] == sorted(str(d) for d in {2, 3, 4, 6, None, *range(10, 40)})[:6] and kept.count() == 35
+    assert {r.doc_id: r.map["k"] for r in kept.collect() if r.doc_id} == {d: d for d in {2, 3, 4, 6, *range(10, 40)}}
+    near = ngram_join.drop_near_copies(clashing(documents, [(1, text), (3, text + " more"), (4, "no")]))
+    assert sorted(r.doc_id for r in near.collect()) == [1, 4]
+
+
+def test_repeats_of_the_winner_differ_in_other_columns(documents):
+    rows = [(7, "same", None, s) for s in ("c", "a", "b")] + [(3, "same", None, "z")] * 40 + [(9, "lone", None, s) for s in ("y", "x")]
+    for counters in (1, 1000):
+        got = exact_dedup.drop_duplicates(documents(rows).repartition(5), counters).collect()
+        assert sorted((r.doc_id, r.source) for r in got) == [(7, "a"), (9, "x")]
+
+
+def test_no_text_of_a_frequent_copy_is_shuffled(documents):
+    rows = [(k, "copy " * 100) for k in range(500)] + [(1000 + k, f"text {k}") for k in range(40)]
+    left = exact_dedup.drop_duplicates(documents(rows), 20)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" not in plan and "BroadcastHashJoin" in plan
+    assert left.count() == 41
+
+
+def test_long_runs_merge_in_time():
+    import time
+
+    from stationflow.llm.sentencepiece_trie import MARK, load, merge
+
+    def slow(text, rank):
+        parts = list(text)
+        while True:
+            found = min(((rank[a + b][0], k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in rank), default=None)
+            if found is None:
+                return parts
+            k = found[1]
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+    rank = load(sentencepiece_model()).rank
+    rng = random.Random(4)
+    for n in (0, 1, 2, 3, 17, 40, 100):
+        for alphabet in (MARK, MARK + "a", "abcdeo" + MARK, "=-_. "):
+            text = "".join(rng.choices(alphabet, k=n))
+            assert merge(text, rank) == slow(text, rank)
+    began = time.time()
+    assert "".join(merge(MARK * 100000, rank)) == MARK * 100000 and time.time() - began < 20
+    sp = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_model())
+    text = "a" + " " * 100000 + "b"
+    assert sentencepiece_trie.encode_texts(pa.array([text]), sentencepiece_model()).to_pylist() == [sp.encode(text)]
