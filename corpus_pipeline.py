@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationflow.llm import cross_parse, exact_dedup, ngram_join, sentencepiece_trie, temperature_mix
+from stationflow.llm.names import free_names
 from stationflow.llm.queries import ENTROPY_SHARE, REPETITION, sentencepiece_model
 from stationflow.session import materialise
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told; those without a letter go. Learns from the rows that are not held out."""
+    """Documents in a language that can be told. Learns from the rows that are not held out.
+
+    Those without a letter go, and those that even the best language tells no better than byte by byte
+    (LITERAL_BITS a byte): strings of letters that are no words of a language learned.
+    """
     models = cross_parse.learn(docs.filter(~cross_parse.held_out()))
-    told = cross_parse.identify(docs, models, pred="_pred", score="_score")
-    return told.filter(F.col("_pred") != cross_parse.UNDECIDED).select(*[f"`{c}`" for c in docs.columns])
+    pred, score = free_names(docs, "pred", "score")
+    told = cross_parse.identify(docs, models, pred=pred, score=score, most_bits=cross_parse.LITERAL_BITS)
+    return told.filter(F.col(pred) != cross_parse.UNDECIDED).select(*[f"`{c}`" for c in docs.columns])
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
