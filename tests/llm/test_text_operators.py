@@ -400,3 +400,66 @@ def test_long_runs_merge_in_time():
     sp = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_model())
     text = "a" + " " * 100000 + "b"
     assert sentencepiece_trie.encode_texts(pa.array([text]), sentencepiece_model()).to_pylist() == [sp.encode(text)]
+
+
+def test_real_licence_texts(spark):
+    text = dict.fromkeys(n for n, _ in license_scan.TEMPLATES)
+    for name, t in license_scan.TEMPLATES:
+        text[name] = max(text[name] or "", t, key=len)
+
+    def wrapped(t, mark=""):
+        import textwrap
+
+        return "".join(f"{mark}{row}\n" for row in textwrap.wrap(t, 66))
+
+    code = "import zyx\n\ndef frob(quux):\n    return quux * 17  # plugh xyzzy\n" * 8
+    rows = [
+        ("apache/LICENSE", "\n                              Apache License\n                        Version 2.0, January 2004\n                     http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n" + "plain other words of the terms\n" * 60, "Apache-2.0"),
+        ("spdx/a.c", "// SPDX-License-Identifier: Apache-2.0\n" + code, "Apache-2.0"),
+        ("spdx/b.c", "/* SPDX-License-Identifier: GPL-2.0-or-later */\n" + code, "GPL-2.0"),
+        ("spdx/c.c", "# SPDX-License-Identifier: MIT\n" + code, "MIT"),
+        ("gpl3/COPYING", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Everyone is permitted to copy\n" + code, "GPL-3.0"),
+        ("gpl2/COPYING", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n" + code, "GPL-2.0"),
+        ("gpl3/x.py", "#!/usr/bin/env python\n# Frobnicate quuxes.\n#\n" + wrapped(text["GPL-3.0"], "# ") + code, "GPL-3.0"),
+        ("agpl/x.py", code + wrapped(text["AGPL-3.0"], " * ") + code, "AGPL-3.0"),
+        ("bsd3/x.c", code + wrapped(text["BSD-3-Clause"], " * ") + code, "BSD-3-Clause"),
+        ("bsd2/LICENSE", "Copyright (c) 2020, A. Person\nAll rights reserved.\n\n" + wrapped(text["BSD-2-Clause"]), "BSD-2-Clause"),
+        ("mit/LICENSE", "MIT License\n\nCopyright (c) 2020 A. Person\n\n" + wrapped(text["MIT"]), "MIT"),
+        ("apache/x.py", wrapped(text["Apache-2.0"], "# ") + code, "Apache-2.0"),
+        ("plain/x.py", code + "the use of this license is not what this file is about\n", None),
+    ]
+    files = spark.createDataFrame([r[:2] for r in rows] + [(f"pad/{k}", f"some words number {k} and the rest of it") for k in range(200)], "path string, text string")
+    got = {r.path: r for r in license_scan.scan_licenses(files).collect()}
+    assert {p: got[p].own_license for p, _, _ in rows} == {p: want for p, _, want in rows}
+    assert got["spdx/a.c"].line == 0 and got["agpl/x.py"].line >= 30
+
+
+def test_licence_cosines_equal_brute_force(spark):
+    import math
+    import re
+    from collections import Counter
+
+    rng = random.Random(8)
+    templates = [("A", "one two three three four"), ("B", "two five six"), ("C", "one seven")]
+    vocabulary = "one two three four five six seven other thing".split()
+    texts = ["\n".join(" ".join(rng.choices(vocabulary, k=rng.choice([0, 1, 2, 4, 7]))) for _ in range(rng.choice([1, 2, 5, 40]))) for _ in range(60)] + ["", "one", "\n\n"]
+    known = {w for _, t in templates for w in t.split()}
+    words = lambda t: re.findall("[a-z]+", t)
+    df = Counter(w for t in texts for w in set(words(t)) & known)
+    idf = lambda w: math.log((len(texts) + 1) / ((df[w] if w in known else 0) + 1)) + 1
+
+    def cosine(found, template):
+        tf, of = Counter(found), Counter(words(template))
+        mine = sum((n * idf(w)) ** 2 if w in known else n * idf(w) ** 2 for w, n in tf.items())
+        return sum(tf[w] * of[w] * idf(w) ** 2 for w in of) / math.sqrt(mine * sum((n * idf(w)) ** 2 for w, n in of.items())) if tf else 0.0
+
+    got = {int(r.path): r for r in license_scan.own_licenses(spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], "path string, text string"), templates).collect()}
+    for k, text in enumerate(texts):
+        lines = [words(x) for x in text.split("\n")]
+        spans = [sum(lines[i : i + n], []) for n in license_scan.WINDOWS for i in range(len(lines) - n + 1) if lines[i]] + [words(text)]
+        best = max(cosine(s, t) for s in spans for _, t in templates)
+        assert abs(got[k].similarity - (best if best >= 0.6 else 0.0)) < 1e-8, (k, text)
+        if best >= 0.6:
+            r = got[k]
+            span = words(text) if r.line < 0 else sum(lines[r.line : r.line + r.lines], [])
+            assert max(cosine(span, t) for name, t in templates if name == r.own_license) >= best - 1e-8
