@@ -113,7 +113,11 @@ class Forward:
     def __init__(self, model: Model) -> None:
         self.model, self.memo = model, {}
         self.merged = {pair: k for k, pair in model.parts.items()}
-        self.longest = max(map(len, model.ids), default=1)
+        self.whole = {p: k for p, k in model.ids.items() if k in model.whole}
+        self.reach: dict[str, int] = {}  # length of the longest piece with these last three characters
+        for p in self.whole:
+            if len(p) > 2:
+                self.reach[p[-3:]] = max(len(p), self.reach.get(p[-3:], 0))
 
     def follows(self, a: int, b: int) -> bool:
         """Whether encoding the texts of `a` and `b` together gives just these: no merge across the border comes before those that made them."""
@@ -142,7 +146,7 @@ class Forward:
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of sorted distinct words one after the other, and how many each has."""
-        ids, whole, longest, follows = self.model.ids, self.model.whole, self.longest, self.follows
+        ids, whole, reach, follows, memo = self.model.ids, self.whole, self.reach, self.follows, self.memo
         last, back = [0], [0]  # per prefix: the piece it ends with (-1: a character without piece), where that begins
         before, out, counts = "", [], []
         for word in words:
@@ -159,9 +163,12 @@ class Forward:
             for end in range(k + 1, n + 1):
                 piece = -1
                 if word[end - 1] in ids:
-                    for start in range(max(0, end - longest), end):
-                        x = ids.get(word[start:end])
-                        if x is not None and x in whole and (start == 0 or last[start] < 0 or follows(last[start], x)):
+                    for start in range(max(0, end - reach.get(word[end - 3 : end], 2) if end > 2 else 0), end):
+                        x = whole.get(word[start:end])
+                        if x is None:
+                            continue
+                        left = last[start]
+                        if start == 0 or left < 0 or memo.get(left << 32 | x) or follows(left, x):
                             piece = x
                             break
                     else:
