@@ -39,7 +39,8 @@ def op3_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation as chosen; rejected is the same up to its last assistant turn, which is answered as in the next conversation that has one.
 
     The next conversation is that of the next larger id, after the last the first. A conversation without
-    an assistant turn is its own rejected one, so both its completions are empty.
+    an assistant turn is its own rejected one, so both its completions are empty. Spans are told as text,
+    start:end joined by commas.
     """
     turns = _table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
     last = F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("answer"))).alias("last")
@@ -52,7 +53,9 @@ def op3_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     upto = F.coalesce(turn <= F.col("at"), turn.isNull())
     at = has & (F.col("role") == "assistant") & turn.eqNullSafe(F.col("at")) & (F.coalesce("text", F.lit("")) == F.col("answer"))
     rejected = turns.join(swapped, "pair_id", "left").filter(~has | upto).select("pair_id", "turn", "role", F.when(at, F.col("other")).otherwise(F.col("text")).alias("text"))
-    return preference_chat.format_preferences(turns, rejected)
+    pairs = preference_chat.format_preferences(turns, rejected)
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias(spans)
+    return pairs.select("pair_id", "n_prompt_turns", "prompt", "chosen", told("chosen_spans"), "rejected", told("rejected_spans"))
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,6 +167,58 @@ SELECT page_id, r.host, r.path, rule, coalesce(decision, CASE WHEN spread.addres
 FROM r LEFT JOIN key ON key.v = r.url LEFT JOIN spread ON spread.address = key.address WHERE k = 1
 """
 
+SQL["op3_preference_chat"] = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text, role = 'assistant' AS answers FROM conversations WHERE conv_id IS NOT NULL),
+a AS (
+  SELECT conv_id, turn AS last_turn, text AS answer FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, text DESC) AS k FROM t WHERE answers) WHERE k = 1),
+swapped AS (SELECT *, coalesce(lead(answer) OVER (ORDER BY conv_id), first_value(answer) OVER (ORDER BY conv_id)) AS other FROM a),
+r AS (
+  SELECT conv_id, turn, role, CASE WHEN answers AND turn IS NOT DISTINCT FROM last_turn AND text = answer THEN other ELSE text END AS text
+  FROM t LEFT JOIN swapped USING (conv_id) WHERE other IS NULL OR coalesce(turn <= last_turn, turn IS NULL)),
+sides AS (SELECT 'c' AS side, conv_id, turn, role, text FROM t UNION ALL SELECT 'r', conv_id, turn, role, text FROM r),
+k AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn NULLS FIRST, role, text) AS i,
+         '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS told FROM sides),
+c AS (SELECT * FROM k WHERE side = 'c'),
+j AS (SELECT * FROM k WHERE side = 'r'),
+p AS (
+  SELECT conv_id, CAST(coalesce(min(i) FILTER (c.role IS DISTINCT FROM j.role OR c.text IS DISTINCT FROM j.text) - 1, count(*)) AS INTEGER) AS n
+  FROM c FULL JOIN j USING (conv_id, i) GROUP BY 1),
+x AS (
+  SELECT side, conv_id, i, n, role, told, i > n AS after, coalesce(sum(CASE WHEN i > n THEN length(told) END) OVER (
+    PARTITION BY conv_id, side ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM k JOIN p USING (conv_id)),
+y AS (SELECT *, CAST(start + length(role) + 5 AS BIGINT) || ':' || CAST(start + length(told) AS BIGINT) AS span FROM x)
+SELECT conv_id AS pair_id, n AS n_prompt_turns,
+       coalesce(string_agg(told, '' ORDER BY i) FILTER (side = 'c' AND NOT after), '') AS prompt,
+       coalesce(string_agg(told, '' ORDER BY i) FILTER (side = 'c' AND after), '') AS chosen,
+       coalesce(string_agg(span, ',' ORDER BY i) FILTER (side = 'c' AND after AND role = 'assistant'), '') AS chosen_spans,
+       coalesce(string_agg(told, '' ORDER BY i) FILTER (side = 'r' AND after), '') AS rejected,
+       coalesce(string_agg(span, ',' ORDER BY i) FILTER (side = 'r' AND after AND role = 'assistant'), '') AS rejected_spans
+FROM y GROUP BY conv_id, n
+"""
+
+SQL["op6_merkle_fingerprints"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+ahead AS (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS after FROM d),
+e AS (SELECT *, substr(text, 1, n - n // 2) || substr(after, 1, n // 2) AS edited FROM ahead),
+texts AS (SELECT text FROM e UNION SELECT edited FROM e),
+leaves AS (SELECT text, list_transform(regexp_extract_all(text, '[^\n]{1,96}\n?|\n'), lambda p: substr(sha256(p), 1, 16)) AS leaves FROM texts),
+sections AS (
+  SELECT text, leaves, list_filter(string_split_regex(array_to_string(list_transform(leaves, lambda h: CASE WHEN h LIKE '%0' THEN h || ';' ELSE h END), ' '), '; ?'), lambda s: s <> '') AS sections FROM leaves),
+prints AS (
+  SELECT text, list_distinct(leaves) AS leaves, sha256(coalesce(array_to_string(list_transform(sections, lambda s: sha256(s)), ''), '')) AS root,
+         coalesce(array_to_string(list_transform(sections, lambda s: ';' || substr(sha256(s), 1, 8) || ' ' || s), ''), '') AS branches FROM sections),
+three AS (
+  SELECT doc_id, n, edited, a.root || a.branches AS fingerprint, b.root || b.branches AS edited_fingerprint, a.root AS r, b.root AS rb, c.root AS rc, a.leaves AS l, b.leaves AS lb, c.leaves AS lc
+  FROM e JOIN prints a ON a.text = e.text JOIN prints b ON b.text = e.edited JOIN prints c ON c.text = e.after)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
+       CASE WHEN r = rb THEN 1 ELSE CAST(2 AS DOUBLE) * len(list_intersect(l, lb)) / greatest(len(l) + len(lb), 1) END AS near_edited,
+       CASE WHEN r = rc THEN 1 ELSE CAST(2 AS DOUBLE) * len(list_intersect(l, lc)) / greatest(len(l) + len(lc), 1) END AS near_next
+FROM three
+"""
+
 SQL["op1_ngram_jaccard"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
