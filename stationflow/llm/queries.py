@@ -137,21 +137,30 @@ u AS (
 p AS (
   SELECT page_id, url, html, translate(regexp_extract(tail, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(tail, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
-l AS (
+bare AS (
+  SELECT url, regexp_replace(html, '(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)', ' ', 'g') AS html FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+l0 AS (
   SELECT url, unnest([regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?\s*([^"''>\s]+)', 1),
                       regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?\s*([^"''>\s]+)', 1)]) AS link
-  FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+  FROM bare),
+l AS (SELECT url, regexp_replace(link, '&(amp|#38|#x26);', '&', 'gi') AS link FROM l0),
 ab AS (
   SELECT url, CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN link
                    WHEN link LIKE '//%' THEN regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*:') || link
                    WHEN link LIKE '/%' THEN regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*') || link
                    ELSE regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/?([^?#]*/)?') || link END AS target FROM l WHERE link <> ''),
 ends AS (SELECT url AS x, target AS y FROM ab UNION SELECT target, url FROM ab),
-key AS (
-  SELECT v, lower(regexp_extract(v, '://([^/?#]*)', 1)) AS host, regexp_extract(v, '://[^/?#]*([^?#]*)', 1) AS path,
-         lower(regexp_extract(v, '://([^/?#]*)', 1)) || regexp_replace(regexp_extract(v, '://[^/?#]*([^?#]*)', 1), '/+$', '') || regexp_extract(v, '^[^?#]*(\?[^#]*)?', 1) AS address
+named AS (
+  SELECT v, lower(regexp_extract(v, '^([^:/?#]*)://', 1)) AS scheme, lower(regexp_extract(v, '://([^/?#]*)', 1)) AS host, regexp_extract(v, '://[^/?#]*([^?#]*)', 1) AS path,
+         regexp_extract(v, '^[^?#]*(\?[^#]*)?', 1) AS query
   FROM (SELECT x AS v FROM ends UNION SELECT url FROM pages WHERE url IS NOT NULL)),
-e AS (SELECT DISTINCT a.address AS x, b.address AS y FROM ends JOIN key a ON a.v = ends.x JOIN key b ON b.v = ends.y WHERE a.address <> b.address),
+straight AS (
+  SELECT *, array_to_string(list_reduce(list_transform(string_split(path, '/'), lambda s: [s]),
+    lambda a, b: CASE b[1] WHEN '.' THEN a WHEN '..' THEN a[1:greatest(len(a) - 1, 1)] ELSE list_concat(a, b) END), '/') AS straight FROM named),
+key AS (
+  SELECT v, host, path, CASE scheme WHEN 'http' THEN regexp_replace(host, ':(80)?\z', '') WHEN 'https' THEN regexp_replace(host, ':(443)?\z', '') ELSE host END
+         || regexp_replace(straight, '/+$', '') || query AS address FROM straight),
+e AS (SELECT DISTINCT a.address AS x, b.address AS y FROM ends JOIN key a ON a.v = ends.x JOIN key b ON b.v = ends.y WHERE a.address <> b.address AND a.host <> '' AND b.host <> ''),
 reach(x, y) AS (SELECT x, y FROM e UNION SELECT reach.x, e.y FROM reach JOIN e ON e.x = reach.y),
 seed AS (
   SELECT address FROM (

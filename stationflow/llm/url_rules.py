@@ -5,7 +5,7 @@ and the longest rule that fits decides. URLs that redirect to each other or name
 each other as canonical are aliases. The classes of aliases are the connected
 components of these links; where one member of a class is blocked by a rule, every
 member without a rule of its own is blocked. An explicit allow rule takes
-precedence over what comes from aliases.
+precedence over what comes from aliases. Tags in comments and scripts state no link.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CANONICAL = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
 REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
 HREF = r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'>\s]+)"
+UNREAD = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)"
 TARGET = r"(?is)\burl\s*=\s*[\"']?\s*([^\"'>\s]+)"
 
 
@@ -75,17 +76,29 @@ def resolve(base: Column, link: Column) -> Column:
     )
 
 
+def _without_dots(path: Column) -> Column:
+    """A path whose `.` and `..` segments are taken out."""
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(F.split(path, "/"), none, lambda acc, s: F.when(s == ".", acc).when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(F.concat(acc, F.array(s))))
+    return F.when(path.rlike(r"/\.\.?(/|\z)"), F.array_join(kept, "/")).otherwise(path)
+
+
 def address(url: Column) -> Column:
-    """What two spellings of one address share: no scheme, host in lower case, no fragment, no trailing slash."""
-    query = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[^?#]*(\?[^#]*)?", 1)
-    return F.concat(host_of(url), F.regexp_replace(path_of(url), "/+$", ""), query)
+    """What two spellings of one address share: no scheme, host in lower case without the scheme's own port, no dot segments, no fragment, no trailing slash."""
+    url = F.coalesce(url, F.lit(""))
+    scheme, host = F.lower(F.regexp_extract(url, r"^([^:/?#]*)://", 1)), host_of(url)
+    named = F.when(scheme == "http", F.regexp_replace(host, r":(80)?\z", "")).when(scheme == "https", F.regexp_replace(host, r":(443)?\z", "")).otherwise(host)
+    query = F.regexp_extract(url, r"^[^?#]*(\?[^#]*)?", 1)
+    return F.concat(named, F.regexp_replace(_without_dots(path_of(url)), r"/+\z", ""), query)
 
 
 def alias_links(pages: DataFrame) -> DataFrame:
     """(url, target): canonical links and immediate redirects that pages (url, html) state."""
+    read = pages.filter("url is not null and html is not null").select("url", F.regexp_replace("html", UNREAD, " ").alias("html"))
     tags = F.array(F.regexp_extract(F.regexp_extract("html", CANONICAL, 0), HREF, 1), F.regexp_extract(F.regexp_extract("html", REFRESH, 0), TARGET, 1))
-    stated = pages.filter("url is not null and html is not null").select("url", F.explode(tags).alias("link")).filter("link <> ''")
-    return stated.select("url", resolve(F.col("url"), F.col("link")).alias("target"))
+    stated = read.select("url", F.explode(tags).alias("link")).filter("link <> ''")
+    link = F.regexp_replace("link", "(?i)&(amp|#38|#x26);", "&")
+    return stated.select("url", resolve(F.col("url"), link).alias("target"))
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, links: DataFrame | None = None) -> DataFrame:

@@ -1,6 +1,9 @@
 """Preference formatting and URL rules on small fixtures; the registered queries against their SQL."""
 
+import random
+
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +70,41 @@ def test_urls(spark):
     assert url_rules.judge_urls(pages(spark, []), rules).count() == 0
 
 
+def test_spellings_of_one_address(spark):
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, decision string")
+    link = '<link rel=canonical href="{}">'
+    rows = [
+        (1, "http://a.org:80/x", link.format("http://a.net/fr/1")), (2, "http://a.org/x/", None), (3, "https://a.org:443/y/../x", None), (4, "https://a.org:80/x", None), (5, "http://b.org/p?a=1&b=2", None),
+        (6, "http://b.org/q", link.format("./p?a=1&amp;b=2")), (7, "http://b.org/r", link.format("../q#top") + link.format("http://free.org/")), (8, "http://c.org/", link.format("http://a.net/es/")),
+        (9, "http://d.org/", "<!-- " + link.format("http://a.net/es/") + " -->"), (10, "http://e.org/", "<script>" + link.format("http://a.net/es/") + "</script>"), (11, "http://f.org/", "<!-- " + link.format("http://a.net/es/")),
+        (12, "http://b.org/p?a=1&b=2#x", link.format("http://b.net/es/..a/../.b/")), (13, "http://b.net:80/es/.b", None), (14, "http://a.org", link.format("http://a.org:/x")), (15, "http://a.org/../..", None),
+    ]
+    got = {r.page_id: (r.verdict, r.via) for r in url_rules.judge_urls(pages(spark, rows), rules).collect()}
+    assert {k for k, v in got.items() if v == ("block", "alias")} == {1, 2, 3, 5, 6, 7, 8, 12, 13, 14, 15}  # 13: a host with a port fits no rule, its address does
+    assert all(got[k] == ("allow", "default") for k in (4, 9, 10, 11))
+
+
+def test_alias_chains_equal_sql(spark, tmp_path):
+    deal = random.Random(5)
+    urls = [f"{deal.choice(['http', 'https'])}://{deal.choice(['a.org', 'B.net', 'www.example.com', 'x.com', 'c.org:80', 'c.org', 'c.org:443'])}/{deal.choice(['en', 'es', 'fr', 'de'])}/{deal.choice(['', './', 'q/../', '../'])}{k % 40}{deal.choice(['', '/', '#t', '?k=1&l=2'])}" for k in range(160)]
+    tags = ['<link rel="canonical" href="{}">', '<meta http-equiv=refresh content="0; url={}">', "<!-- <link rel=canonical href='{}'> -->", "<p>{}</p>"]
+    html = [None if k % 11 == 0 else deal.choice(tags).format(deal.choice([*urls, f"../es/{k % 40}", f"/fr/{k % 40}", "//a.org/de/1", str(k % 7)]).replace("&", "&amp;")) for k in range(160)]
+    pd.DataFrame({"page_id": range(160), "url": urls, "html": html}).to_parquet(tmp_path / "pages.parquet")
+    ours = queries.op2_url_filters(spark, str(tmp_path)).toPandas()
+    assert set(ours.via) == {"rule", "alias", "default"}
+    assert difference(ours, connect(str(tmp_path)).execute(queries.SQL["op2_url_filters"]).df()) is None
+
+
+def test_chat_and_fingerprints_equal_sql_on_odd_rows(spark, tmp_path):
+    talk = [(5, 0, "user", "q5"), (5, 1, "assistant", "a5"), (5, 2, "user", "thanks"), (8, 0, "user", "q"), (20, 0, None, "日本"), (20, 1, "assistant", "é" * 9), (20, 1, "assistant", "b"), (31, None, "assistant", None), (33, 0, None, None), (40, 3, "assistant", "a5")]
+    pd.DataFrame(talk, columns=["conv_id", "turn", "role", "text"]).astype({"turn": "Int64"}).to_parquet(tmp_path / "conversations.parquet")
+    texts = ["ab\ncd\n" * 400, "", None, "x" * 301, "日本語é😀" * 50, "\n\n\n", "ab\ncd\n" * 400, "one line\r\nand more", " ".join(map(str, range(3000))), "q"]
+    pd.DataFrame({"doc_id": range(7, 7 + len(texts)), "text": texts}).to_parquet(tmp_path / "documents.parquet")
+    con = connect(str(tmp_path))
+    for name in ("op3_preference_chat", "op6_merkle_fingerprints"):
+        assert difference(queries.QUERIES[name](spark, str(tmp_path)).toPandas(), con.execute(queries.SQL[name]).df()) is None
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_equals_sql(spark, name):
     assert difference(queries.QUERIES[name](spark, SMALL).toPandas(), connect(SMALL).execute(queries.SQL[name]).df()) is None
