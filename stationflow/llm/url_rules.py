@@ -118,12 +118,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, links: DataFrame | None = Non
     both = links.select(ends(F.col("url")).alias("x"), ends(F.col("target")).alias("y")).filter("x.host <> '' and y.host <> '' and x.address <> y.address")
     both = materialise(both.distinct(), "links")
     ruled = materialise(fitting_rule(urls.select("host", "path").union(both.select("y.host", "y.path")), rules), "ruled")
+    # A table as long as the pages is short as a compressed file, which must not make it a broadcast: these joins sort both sides.
+    by_place = ruled.hint("merge")
     classes = connected_components(both.select(F.xxhash64("x.address").alias("a"), F.xxhash64("y.address").alias("b")))
     known = both.select("x.*").union(both.select("y.*")).union(urls.select("host", "path", address(F.col("url")).alias("address")).filter("host <> ''"))
-    blocked = known.withColumn("node", F.xxhash64("address")).join(classes, "node").join(ruled, ["host", "path"]).filter("decision = 'block'").select("component").distinct()
+    blocked = known.withColumn("node", F.xxhash64("address")).join(classes, "node").join(by_place, ["host", "path"]).filter("decision = 'block'").select("component").distinct()
     spread = classes.join(blocked, "component").select("node")
-    judged = urls.join(ruled, ["host", "path"], "left").withColumn("node", F.when(F.col("host") != "", F.xxhash64(address(F.col("url")))))
-    judged = judged.join(spread.withColumn("alias", F.lit(True)), "node", "left")
+    judged = urls.join(by_place, ["host", "path"], "left").withColumn("node", F.when(F.col("host") != "", F.xxhash64(address(F.col("url")))))
+    judged = judged.join(spread.withColumn("alias", F.lit(True)).hint("merge"), "node", "left")
     verdict = F.coalesce("decision", F.when(F.col("alias"), "block"), F.lit("allow"))
     via = F.when(F.col("decision").isNotNull(), "rule").when(F.col("alias"), "alias").otherwise("default")
     return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), via.alias("via"))
