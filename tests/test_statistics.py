@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stationflow.operators import evaluate
 from stationflow.operators.quantiles import exact_quantiles
-from stationflow.operators.rollups import ridership_by_hour
+from stationflow.operators.rollups import ridership_by_borough, ridership_by_hour
 from stationflow.operators.stations import add_station_tier
 from stationflow.sources.landed import select_page
 
@@ -205,3 +205,13 @@ def test_page_holds_the_rows_at_its_positions(spark, hours, offset, limit):
     rows = [(f"s{i % 4}", f"2024-01-01 0{i // 4}:00:00", float(i)) for i in range(12)]
     page = select_page(hours(rows), limit=limit, offset=offset)
     assert [r.ridership for r in page.collect()] == [float(i) for i in range(12)][offset : offset + limit]
+
+
+def test_rollups_by_hour_and_borough_keep_to_their_range(spark):
+    rows = [("1996-01-01 05:00:00", "a", "X", 1.0), ("1996-01-02 05:00:00", "a", "X", 2.0), ("1996-01-02 06:00:00", "b", "Y", 4.0), ("1996-01-03 05:00:00", "b", "X", 8.0)]
+    df = spark.createDataFrame(rows, "t string, station_complex string, borough string, ridership double").selectExpr("cast(t as timestamp_ntz) transit_timestamp", "station_complex", "borough", "ridership")
+    df = df.withColumn("year", F.year("transit_timestamp")).withColumn("month", F.month("transit_timestamp"))
+    hours = {r.hour_of_day: r.total_ridership for r in ridership_by_hour(df, start="1996-01-02", end="1996-01-03").collect()}
+    assert hours == {5: 2.0, 6: 4.0}
+    boroughs = {r.borough: r.total_ridership for r in ridership_by_borough(df, start="1996-01-02").collect()}
+    assert boroughs == {"X": 10.0, "Y": 4.0}
