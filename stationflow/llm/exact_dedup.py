@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stationflow.llm.arrowtext import bounded_batches
+from stationflow.llm.hash_filter import split_by_keys
 from stationflow.llm.names import free_names
 from stationflow.session import materialise
 
@@ -113,7 +114,7 @@ def drop_duplicates(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """`docs` with one row of every group of equal texts: the one with the largest doc_id.
 
     Copies of frequent texts are left out where they are read, against the broadcast winners, so their texts
-    meet no exchange. Of repeated rows with the largest doc_id the smallest by the other columns stays (maps
+    meet no exchange. Nor do texts without a copy, but for the few that a bitmap of the copies does not rule out. Of repeated rows with the largest doc_id the smallest by the other columns stays (maps
     compare as JSON). Columns may have any name and type.
     """
     rows = _digests(docs)
@@ -126,9 +127,10 @@ def drop_duplicates(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     left = at_scan.filter(F.col(helper).isNull() | wins).select(*columns)
     groups = _groups(rows, winners)
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    marked = materialise(groups.filter((~F.col("frequent") & ~stays) | (stays & (F.col("n") > 1))).select("doc_id", "digest", stays.alias("stays")), "marked")
+    marked = materialise(groups.filter((~F.col("frequent") & ~stays) | (stays & (F.col("n") > 1))).select("doc_id", "digest", stays.alias("stays"), F.xxhash64("digest").alias("key")), "marked")
     same = F.col("doc_id").eqNullSafe(F.col(f"{helper}.doc_id")) & (_digest() == F.col(f"{helper}.digest"))
-    once = left.join(nested(marked, "doc_id", "digest"), same, "left_anti")
+    left, single = split_by_keys(left, F.xxhash64(_digest()), marked.select("key"))
+    once = single.unionByName(left.join(nested(marked, "doc_id", "digest"), same, "left_anti"))
     repeated = marked.filter("stays")
     if not repeated.limit(1).count():
         return once

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stationflow.llm.arrowtext import bounded_batches, buffers, chunks, mix, shingle_sets, strings
 from stationflow.llm.components import connected_components
+from stationflow.llm.hash_filter import split_by_keys
 from stationflow.llm.names import free_names
 from stationflow.session import materialise
 
@@ -188,10 +189,12 @@ def _shared(signs: DataFrame, rounds: int = 2) -> DataFrame:
     left out. A dealing of NEED or less asks for that many signatures.
     """
     dealt = lambda rows: rows.select("sign", "sid", "dealing").repartition("sign").sortWithinPartitions("sign", "sid").mapInArrow(_several, "sign long, sid long, dealing long, head long")
-    rows = materialise(dealt(signs), "shared")
-    for _ in range(rounds):
+    rows = dealt(signs)
+    rows = materialise(rows, "shared") if rounds else rows
+    for k in range(rounds):
         enough = rows.groupBy("sid", "dealing").agg(F.count("*").alias("n")).filter(F.col("n") >= F.col("dealing") % NEED).drop("n")
-        rows = materialise(dealt(rows.join(enough, ["sid", "dealing"])), "shared")
+        rows = dealt(rows.join(enough, ["sid", "dealing"]))
+        rows = materialise(rows, "shared") if k < rounds - 1 else rows  # what the last round leaves is read once
     return connected_components(rows.select(F.col("sid").alias("a"), F.col("head").alias("b")))
 
 
@@ -344,9 +347,10 @@ def link_classes(docs: DataFrame, words: int = 5, percent: int = 80, block_rows:
     wanted = groups.join(sizes, "component").select(F.col("node").alias("sid"), F.col("component").alias("g"), "size").join(stands, "sid")
     wanted = materialise(wanted.select("id", "_of_text", "sid", "g", "size", "repeats"), "wanted")
     stand = F.col("doc_id").eqNullSafe(F.col("id")) & (digest == F.col("_of_text"))
-    found = docs.join(wanted.filter("repeats = 1").hint("shuffle_hash"), stand).select("text", "sid", "g", "size")
+    likely, _ = split_by_keys(docs, digest, wanted.select("_of_text"))  # only texts that stand for a set meet the exchange, and few others
+    found = likely.join(wanted.filter("repeats = 1").hint("shuffle_hash"), stand).select("text", "sid", "g", "size")
     if wanted.filter("repeats > 1").limit(1).count():
-        again = docs.join(wanted.filter("repeats > 1"), stand).groupBy("sid", "g", "size").agg(F.any_value("text").alias("text"))
+        again = likely.join(wanted.filter("repeats > 1"), stand).groupBy("sid", "g", "size").agg(F.any_value("text").alias("text"))
         found = found.unionByName(again)
     rows = found.mapInArrow(partial(_members, width=words), "sid long, g long, size long, n long, grams array<long>")
     rows = materialise(rows, "rows")
@@ -379,6 +383,7 @@ def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     several = first.filter("not (a <=> b) or x <> y or a is null").select("class_id", "first")  # classes of one document need no look at their rows
     gone = rows.join(several, "class_id").filter(place != F.col("first")).select("doc_id", "_digest").distinct()
     (helper,) = free_names(docs, "helper")
-    gone = materialise(gone, "copies").select(F.struct("doc_id", "_digest").alias(helper))
+    gone = materialise(gone, "copies")
+    maybe, stay = split_by_keys(docs, F.xxhash64("text"), gone.select("_digest"))
     same = F.col("doc_id").eqNullSafe(F.col(f"{helper}.doc_id")) & (F.xxhash64("text") == F.col(f"{helper}._digest"))
-    return docs.join(gone, same, "left_anti")
+    return stay.unionByName(maybe.join(gone.select(F.struct("doc_id", "_digest").alias(helper)), same, "left_anti"))

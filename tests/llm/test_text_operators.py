@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stationflow.llm import cross_parse, exact_dedup, external_shuffle, license_scan, merkle, ngram_join, sentencepiece_trie, temperature_mix
 from stationflow.llm.components import connected_components
+from stationflow.llm.hash_filter import split_by_keys
 from stationflow.llm.queries import sentencepiece_model
 
 SMALL = "/root/testdata/sf0.001"
@@ -375,6 +376,49 @@ def test_no_text_of_a_frequent_copy_is_shuffled(documents):
     assert left.count() == 41
 
 
+def texts_exchanged(df):
+    """Rows with a text that the collected `df` sent through exchanges."""
+    df.collect()
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        inner = [node.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [node.plan()] if kind.endswith("QueryStageExec") else []
+        children = node.children()
+        inner += [children.apply(k) for k in range(children.size())]
+        own = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" and "text#" in node.output().mkString(" ") else 0
+        return own + sum(walk(x) for x in inner)
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_texts_without_a_copy_meet_no_exchange(spark, documents):
+    text = lambda k: " ".join(f"w{k}x{n}" for n in range(60))
+    rows = [(k, text(k)) for k in range(400)] + [(1000 + k, text(k)) for k in range(9)] + [(2000 + k, text(100 + k) + " more") for k in range(7)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the copies are too many to broadcast
+    try:
+        once = exact_dedup.drop_duplicates(documents(rows), 3)
+        assert texts_exchanged(once) < 40 and once.count() == 407
+        left = ngram_join.drop_near_copies(documents([r for r in rows if not 1000 <= r[0] < 2000]))
+        assert texts_exchanged(left) < 40 and sorted(r.doc_id for r in left.collect()) == list(range(400))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("most", [1 << 27, 1 << 15])
+def test_rows_are_split_by_keys_without_loss(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr("stationflow.llm.hash_filter.MOST_BITS", most)
+    values = [*range(-300, 300), 2**63 - 1, -(2**63), None]
+    df = spark.createDataFrame([(v, k) for k, v in enumerate(values)], "helper long, held long").repartition(4)
+    for name, keys in (("some", [5, -7, 2**63 - 1, -(2**63), None, 5]), ("none", []), ("many", list(range(10**6, 10**6 + 20000)))):
+        spark.createDataFrame([(k,) for k in keys], "key long").write.parquet(str(tmp_path / name))
+        maybe, other = split_by_keys(df, F.col("helper"), spark.read.parquet(str(tmp_path / name)))
+        inside, outside = ([r.helper for r in x.collect()] for x in (maybe, other))
+        assert maybe.columns == other.columns == df.columns and sorted([*inside, *outside], key=str) == sorted(values, key=str)
+        assert {k for k in keys if k in values and k is not None} <= set(inside) and None in outside
+        if name != "many":
+            assert len(inside) <= 8
+
+
 def test_long_runs_merge_in_time():
     import time
 
